@@ -34,10 +34,10 @@ oracle("user_fields", TW + "SELECT id_str, verified, followers_count FROM tweets
 oracle("dead_letter_split", TW + """
 , env AS (
   SELECT CASE WHEN event_id % 10 = 1 THEN 'not json'
-              WHEN event_id % 10 = 0 THEN to_json({'id_str': id_str, 'user': {'verified': verified,
-                     'followers_count': followers_count, 'friends_count': friends_count}})
-              ELSE to_json({'id_str': id_str, 'text': text, 'user': {'verified': verified,
-                     'followers_count': followers_count, 'friends_count': friends_count}}) END AS value
+              WHEN event_id % 10 = 0 THEN CAST(to_json({'id_str': id_str, 'user': {'verified': verified,
+                     'followers_count': followers_count, 'friends_count': friends_count}}) AS VARCHAR)
+              ELSE CAST(to_json({'id_str': id_str, 'text': text, 'user': {'verified': verified,
+                     'followers_count': followers_count, 'friends_count': friends_count}}) AS VARCHAR) END AS value
   FROM tweets)
 SELECT CASE WHEN NOT json_valid(value) THEN 'bad_json'
             WHEN try(json_extract_string(value, '$.id_str')) IS NULL OR try(json_extract_string(value, '$.text')) IS NULL
