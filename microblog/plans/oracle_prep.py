@@ -80,3 +80,6 @@ oracle("insert_if_absent", S.with_(S.TWEETS) + f"""SELECT id_str || {sql_str(DOC
 CASE WHEN event_id % 2 = 0 THEN text ELSE text || {sql_str(NEW_VERSION)} END AS text FROM tweets""")
 oracle("point_lookup", S.with_(S.TWEETS) + f"""SELECT id_str || {sql_str(DOC_KEY_SUFFIX)} AS _id, text FROM tweets
 WHERE event_id = {LOOKUP_EVENT}""")
+
+# every test row must get the same class from the reloaded model
+oracle("sentiment_model_roundtrip", EX + "SELECT count(*) AS n_equal FROM examples WHERE NOT (((id * 7919) % 10 + 10) % 10 < 7)")

@@ -40,9 +40,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def epoch_seconds(ts: Column) -> Column:
     """Whole seconds since 1970 of a TIMESTAMP_NTZ (no session time zone)."""
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    return F.timestamp_diff("SECOND", _epoch_ntz(), ts)
+
+
+def event_time(ts: Column) -> Column:
+    """TIMESTAMP_NTZ read as UTC, whatever the session time zone."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), ts))
 
 
 def _tweet_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +68,7 @@ def _tweet_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         F.col("event_id"),
         F.lpad(eid, 19, "0").alias("id_str"),
-        F.col("ts").cast("timestamp").alias("created_at"),
+        event_time(F.col("ts")).alias("created_at"),
         epoch_seconds(F.col("ts")).alias("sec"),
         F.col("lang"),
         text.alias("text"),
