@@ -33,7 +33,7 @@ EPOCHS = 5
 @dataclass(frozen=True)
 class TrainParams:
     num_features: int = 1 << 16
-    max_iter: int = 20 * EPOCHS
+    max_iter: int = 10 * EPOCHS
     reg_param: float = LEARNING_RATE
     seed: int = 42
 

@@ -93,8 +93,8 @@ def label_counts(spark, sf):
     return _train(spark, sf).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _encoded(spark, sf):
-    return V.encode(prep.examples(spark, sf), _vocab(spark, sf))
+def _encoded(spark, sf, vocab=None):
+    return V.encode(prep.examples(spark, sf), vocab if vocab is not None else _vocab(spark, sf))
 
 
 @query
@@ -105,7 +105,8 @@ def vocab_encode(spark, sf):
 
 @query
 def vocab_decode(spark, sf):
-    return V.decode(_encoded(spark, sf), _vocab(spark, sf))
+    vocab = _vocab(spark, sf)
+    return V.decode(_encoded(spark, sf, vocab), vocab)
 
 
 @query
