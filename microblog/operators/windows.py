@@ -46,9 +46,13 @@ def sliding_count(df: DataFrame, key: str, sec: str = "sec", width: int = WIDTH,
     p = (df.select(F.col(key), F.col(sec), F.col(weight).alias("c")) if weight
          else panes(df, key, sec))
     sign = -1 if inverse == "subtract" else 1
-    deltas = p.select(key, sec, F.col("c").alias("d")).unionByName(
-        p.select(key, (F.col(sec) + F.lit(width)).alias(sec), (F.col("c") * sign).alias("d"))
-    )
+    # both deltas of a pane come from one row (a generator, not a self-union,
+    # so the pane aggregation is computed once)
+    both = F.explode(F.array(
+        F.struct(F.col(sec).alias("s"), F.col("c").alias("d")),
+        F.struct((F.col(sec) + F.lit(width)).alias("s"), (F.col("c") * F.lit(sign)).alias("d")),
+    ))
+    deltas = p.select(key, both.alias("_e")).select(key, F.col("_e.s").alias(sec), F.col("_e.d").alias("d"))
     out = prefix_sum(deltas, [key], sec, "d", "n", last_per_order=True).select(key, sec, "n")
     return out if keep_zero else out.filter(F.col("n") != 0)
 
