@@ -80,6 +80,11 @@ def random_split(df: DataFrame, ratio: float = 0.7, seed: int = SHUFFLE_SEED) ->
     return df.randomSplit([ratio, 1 - ratio], seed)
 
 
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """A few rows to look at (no order implied)."""
+    return df.limit(n)
+
+
 def head_n(df: DataFrame, n: int, key: str) -> DataFrame:
     """First ``n`` rows by ``key`` (a top-k, not a full sort)."""
     return df.orderBy(F.col(key)).limit(n)

@@ -77,3 +77,26 @@ def evaluate(model: PipelineModel, examples: DataFrame) -> DataFrame:
     p = F.element_at(vector_to_array("_probability"), F.col("label").cast("int") + 1)
     ce = -F.log(F.greatest(p, F.lit(1e-15)))
     return scored.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(ce), 6).alias("log_loss"))
+
+
+def function_scorer(predict, text: str = "text", out: str = "sentiment"):
+    """Score with a user-supplied vectorised model: ``predict(pd.Series of
+    text) -> pd.Series of int``. Runs per Arrow batch through ``mapInPandas``
+    (the partitioning is Spark's; nothing is gathered on the driver); empty
+    token lists get −1 before the model is called."""
+    import pandas as pd
+
+    def apply(df: DataFrame) -> DataFrame:
+        schema = df.select("*", F.lit(0).cast("int").alias(out)).schema
+
+        def run(batches):
+            for pdf in batches:
+                blank = pdf[text].fillna("").str.split().str.len().fillna(0) == 0
+                pred = pd.Series(BAD_INPUT, index=pdf.index, dtype="int32")
+                if (~blank).any():
+                    pred.loc[~blank] = pd.Series(predict(pdf.loc[~blank, text]), index=pdf.index[~blank]).astype("int32")
+                yield pdf.assign(**{out: pred})
+
+        return df.mapInPandas(run, schema)
+
+    return apply

@@ -138,3 +138,11 @@ def start_dashboards(posts: DataFrame, checkpoint_root: str, interval: str = BAT
                   .option("checkpointLocation", f"{checkpoint_root}/{name}")
                   .trigger(processingTime=interval).start())
     return qs
+
+
+def start_feed(posts: DataFrame, servers: str, checkpoint: str, terms: list[str] | None = None) -> StreamingQuery:
+    """The producer job: posts → tracked-term filter → Kafka topic."""
+    from ..sources import kafka
+
+    kept = topics.track_terms(posts, terms) if terms else topics.track_terms(posts)
+    return kafka.write_stream(kept, servers, checkpoint)

@@ -67,3 +67,12 @@ def test_insert_if_absent_and_lookup_prunes_buckets(spark):
     plan = look._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_bucket" in plan or "_bucket" in plan
     assert [r.text for r in look.collect()] == ["two"]
+
+
+def test_function_scorer_uses_arrow_batches_and_sentinel(spark):
+    from microblog.operators.sentiment import function_scorer
+
+    df = spark.createDataFrame([(1, "good day"), (2, "   "), (3, "bad bad day"), (4, "")], "id BIGINT, text STRING")
+    scorer = function_scorer(lambda s: s.str.count("bad").clip(upper=2))
+    got = {r.id: r.sentiment for r in scorer(df).collect()}
+    assert got == {1: 0, 2: -1, 3: 2, 4: -1}
