@@ -12,8 +12,8 @@ one task.
 ``global_rank``
     Dense 1-based position in a total order over the whole frame. The frame is
     range-partitioned on the order, sorted inside each partition and written
-    once to the checkpoint folder; each partition's row count (one row per
-    partition) yields its offset. No window without a partition key is ever
+    once as a table in the checkpoint folder; each partition's row count (one
+    row per partition) yields its offset. No window without a partition key is ever
     evaluated over the data.
 """
 
@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import scratch_path
+
 DEFAULT_BLOCK = 86_400  # one day of seconds
 
 
@@ -72,9 +74,11 @@ def global_rank(df: DataFrame, order: list[Column], out: str = "rank",
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
     # Range bounds are sampled per exchange: the rows and the per-partition
-    # counts must come from one materialisation, so it is written once to the
-    # shared checkpoint folder (this also survives executor loss).
-    ranged = ranged.checkpoint(eager=True)
+    # counts must come from one materialisation, so it is written once as a
+    # table in the shared checkpoint folder (one job; survives executor loss).
+    path = scratch_path(spark, "global-rank")
+    ranged.write.parquet(path)
+    ranged = spark.read.parquet(path)
     # monotonically_increasing_id = (partition << 33) + position in partition
     local = ranged.withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
