@@ -24,17 +24,20 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.labels import BAD_INPUT
 
-# Number of classes, learning rate and epochs of the reference.
+# Fixed value: number of sentiment classes.
 NUM_CLASSES = 3
-LEARNING_RATE = 0.001
-EPOCHS = 5
 
 
 @dataclass(frozen=True)
 class TrainParams:
+    """L-BFGS has no learning rate or epochs: it runs until the loss change is
+    below ``tol`` (about 50 iterations on the test corpora) or ``max_iter``.
+    ``reg_param`` is the L2 strength chosen on the held-out split."""
+
     num_features: int = 1 << 16
-    max_iter: int = 10 * EPOCHS
-    reg_param: float = LEARNING_RATE
+    max_iter: int = 100
+    reg_param: float = 0.1
+    tol: float = 1e-6
     seed: int = 42
 
 
@@ -43,7 +46,7 @@ def pipeline(params: TrainParams = TrainParams(), text: str = "text", label: str
                          toLowercase=False, minTokenLength=1)
     tf = HashingTF(inputCol="_tokens", outputCol="_features", numFeatures=params.num_features)
     lr = LogisticRegression(featuresCol="_features", labelCol=label, family="multinomial",
-                            maxIter=params.max_iter, regParam=params.reg_param,
+                            maxIter=params.max_iter, regParam=params.reg_param, tol=params.tol,
                             predictionCol="_prediction", probabilityCol="_probability",
                             rawPredictionCol="_raw")
     return Pipeline(stages=[tok, tf, lr])
