@@ -8,7 +8,7 @@ place.
 from __future__ import annotations
 
 from ..functions.text import PUNCT, ws_pattern
-from ..schema import LABELLED_DATE, LABELLED_QUERY, LABELLED_USER, TWEET_CHARS, sql_str
+from ..schema import LABELLED_DATE, LABELLED_QUERY, LABELLED_USER, sql_str
 
 P = sql_str(PUNCT)
 
@@ -53,7 +53,7 @@ tweets AS (
          CAST(floor(epoch(ts)) AS BIGINT) AS sec,
          lang,
          '@user' || CAST(user_id AS VARCHAR) || ' #' || event_type || ' http://t.co/'
-           || CAST(event_id AS VARCHAR) || ' ' || substr(text, 1, {TWEET_CHARS}) AS text,
+           || CAST(event_id AS VARCHAR) || ' ' || text AS text,
          (user_id % 10 = 0) AS verified,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS followers_count,
          CAST(user_id % 50 AS INTEGER) AS friends_count
@@ -65,7 +65,7 @@ LABELLED = f"""
 labelled AS (
   SELECT CAST(CASE WHEN quality = 1 AND toxic = 0 THEN 4 WHEN quality = 1 THEN 2 ELSE 0 END AS INTEGER) AS sentiment,
          doc_id AS id, {sql_str(LABELLED_DATE)} AS date, {sql_str(LABELLED_QUERY)} AS query,
-         {sql_str(LABELLED_USER)} AS "user", substr(text, 1, {TWEET_CHARS}) AS tweet
+         {sql_str(LABELLED_USER)} AS "user", text AS tweet
   FROM documents JOIN labels USING (doc_id)
 )"""
 

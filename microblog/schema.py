@@ -27,9 +27,6 @@ ENVELOPE_DDL = ("key BINARY, value BINARY, topic STRING, partition INT, offset B
 TOPIC = "twitter_topic_3"
 GROUP_ID = "twitter_group_2"
 
-# Post text is limited to this many characters.
-TWEET_CHARS = 140
-
 # Constants filling the labelled corpus columns that are dropped.
 LABELLED_DATE = "Mon Apr 06 22:19:45 PDT 2009"
 LABELLED_QUERY = "NO_QUERY"
@@ -63,7 +60,7 @@ def _tweet_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     eid = F.col("event_id").cast("string")
     text = F.concat(
         F.lit("@user"), uid, F.lit(" #"), F.col("event_type"),
-        F.lit(" http://t.co/"), eid, F.lit(" "), F.substring("text", 1, TWEET_CHARS),
+        F.lit(" http://t.co/"), eid, F.lit(" "), F.col("text"),
     )
     return j.select(
         F.col("event_id"),
@@ -153,7 +150,7 @@ def labelled_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(LABELLED_DATE).alias("_c2"),
         F.lit(LABELLED_QUERY).alias("_c3"),
         F.lit(LABELLED_USER).alias("_c4"),
-        F.substring("text", 1, TWEET_CHARS).alias("_c5"),
+        F.col("text").alias("_c5"),
     )
 
 
