@@ -33,8 +33,28 @@ LABELLED_QUERY = "NO_QUERY"
 LABELLED_USER = "corpus"
 
 
+# The key each text-heavy table is spread by when its files
+# give fewer scan splits than the shuffle parallelism.
+SPREAD_KEYS = {"documents": "doc_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = SPREAD_KEYS.get(name)
+    return spread(df, key) if key else df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition a scan by ``key`` only when it has fewer splits than the
+    shuffle parallelism (files written as one huge row group scan in one
+    task). On a large input this is a no-op; when it applies, a later join or
+    aggregation on ``key`` reuses the partitioning."""
+    target = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (remote session): leave the scan as is
+        return df
+    return df.repartition(target, F.col(key)) if splits < target else df
 
 
 def _epoch_ntz() -> Column:
