@@ -125,19 +125,16 @@ def encode_1xn(spark, sf):
                         F.size(F.element_at("m", 1)).cast("int").alias("n_cols"))
 
 
-def _train_batches(spark, sf):
-    enc = V.encode(_train(spark, sf), _vocab(spark, sf))
-    return V.batches(enc)
-
-
 @query
 def length_batches(spark, sf):
-    return _train_batches(spark, sf).select("id", "batch", "pos")
+    return V.batches(V.lengths(_train(spark, sf))).select("id", "batch", "pos")
 
 
 @query
 def pad_batches(spark, sf):
-    p = V.pad(_train_batches(spark, sf))
+    train = _train(spark, sf)
+    enc = V.encode(train, _vocab(spark, sf))
+    p = V.pad(V.batches(V.lengths(train)), enc)
     return p.select("id", F.array_join("padded", " ").alias("padded"), "n_tokens")
 
 
