@@ -69,9 +69,6 @@ labelled AS (
   FROM documents JOIN labels USING (doc_id)
 )"""
 
-NA_LIST = None  # filled below
-
-
 def remap(x: str) -> str:
     return f"CAST(CASE WHEN {x} = 0 THEN 0 WHEN {x} = 2 THEN 1 WHEN {x} = 4 THEN 2 END AS INTEGER)"
 

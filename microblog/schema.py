@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import text as T
 from .functions.json import MESSAGE_DDL
 
 TWEET_DDL = (
@@ -223,5 +222,5 @@ def sql_str(s: str) -> str:
 
 __all__ = [
     "MESSAGE_DDL", "TWEET_DDL", "tweets_base", "tweets", "english", "envelope",
-    "bad_record_envelope", "labelled", "labelled_raw", "scores", "edge_rows", "T",
+    "bad_record_envelope", "labelled", "labelled_raw", "scores", "edge_rows",
 ]

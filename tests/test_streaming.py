@@ -59,3 +59,22 @@ def test_score_upsert_stream_routes_bad_records(spark):
     # id % 10 in {0, 1} are dead letters; all others stored once
     assert len(rows) == len({r._id for r in rows}) == n_events - n_events // 5
     assert {r.sentiment for r in rows} <= {-1, 0, 1, 2}
+
+
+def test_live_dashboards_run_on_a_file_stream(spark, capsys):
+    from microblog import schema
+    from microblog.streaming import live
+    from microblog.streaming.replay import Replay
+
+    rp = Replay(spark, "dashboards").stage_by_time(schema.tweets(spark, SF_SMALL), 2)
+    rp.arrive(0)
+    rp.arrive(1)
+    qs = live.start_dashboards(rp.stream(), rp.checkpoint, interval="0 seconds", delay="1 hour")
+    try:
+        for q in qs:
+            q.processAllAvailable()
+            assert q.exception() is None
+    finally:
+        for q in qs:
+            q.stop()
+    assert "#" in capsys.readouterr().out
