@@ -33,7 +33,7 @@ LABELLED_USER = "corpus"
 
 
 # The key each text-heavy table is spread by when its files
-# give fewer scan splits than the shuffle parallelism.
+# give fewer scan splits than the cluster has cores.
 SPREAD_KEYS = {"documents": "doc_id"}
 
 
@@ -45,11 +45,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-partition a scan by ``key`` only when it has fewer splits than the
-    shuffle parallelism (files written as one huge row group scan in one
+    cluster has cores (files written as one huge row group scan in one
     task). On a large input this is a no-op; when it applies, a later join or
     aggregation on ``key`` reuses the partitioning."""
-    target = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     try:
+        target = df.sparkSession.sparkContext.defaultParallelism  # cores of the cluster
         splits = df.rdd.getNumPartitions()
     except Exception:  # no RDD access (remote session): leave the scan as is
         return df

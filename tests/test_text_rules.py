@@ -88,3 +88,40 @@ def test_track_terms(spark):
 
     df = spark.createDataFrame([("a #Error here",), ("clicked",), ("CLICK!",), ("nothing",)], "text STRING")
     assert [r.text for r in track_terms(df).collect()] == ["a #Error here", "CLICK!"]
+
+
+def java_split_space(t):
+    """Java String.split(" "): trailing empty strings removed; "" -> [""]."""
+    if t == "":
+        return [""]
+    parts = t.split(" ")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def python_serving(t):
+    import string
+
+    return "".join(ch for ch in str(t).lower() if ch not in string.punctuation)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+PIECES = [" ", "  ", "\t", "\n", "#", "@", "http", "HTTP", "x", "Ab", "é", "É", "!", "...", "'", "-", ":",
+          "tag", "user", "\x0b", " ", ",", "?"]
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PIECES), max_size=12).map("".join), min_size=1, max_size=30))
+def test_text_rules_match_python_on_random_strings(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id INT, t STRING")
+    rows = df.select("id", T.space_tokens("t").alias("sp"), T.ws_tokens("t").alias("ws"),
+                     T.clean_full("t").alias("full"), T.clean_serving("t").alias("serv")).collect()
+    for r in rows:
+        t = texts[r.id]
+        assert r.sp == java_split_space(t), repr(t)
+        assert r.ws == t.split(), repr(t)
+        assert r.full == python_full(t), repr(t)
+        assert r.serv == python_serving(t), repr(t)
