@@ -105,12 +105,16 @@ def document_writer(table: str, dead_letters: str):
     keyed by batch id, so a replayed batch rewrites the same output."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        ok = batch.filter(F.col("status") == J.REASON_OK).select("_id", "text", "sentiment")
-        keyed.upsert_batch(ok, table, batch_id)
-        bad = batch.filter(F.col("status") != J.REASON_OK).select("_id", "text", "status")
-        keyed.upsert_batch(bad, dead_letters, batch_id)
+        batch = batch.persist()  # written twice: score the micro-batch once
+        try:
+            if batch.isEmpty():
+                return
+            ok = batch.filter(F.col("status") == J.REASON_OK).select("_id", "text", "sentiment")
+            keyed.upsert_batch(ok, table, batch_id)
+            bad = batch.filter(F.col("status") != J.REASON_OK).select("_id", "text", "status")
+            keyed.upsert_batch(bad, dead_letters, batch_id)
+        finally:
+            batch.unpersist()
 
     return write
 
@@ -149,3 +153,77 @@ def start_feed(posts: DataFrame, servers: str, checkpoint: str, terms: list[str]
 
     kept = topics.track_terms(posts, terms) if terms else topics.track_terms(posts)
     return kafka.write_stream(kept, servers, checkpoint)
+
+
+def final_panes(rows: DataFrame, key: str, delay: str) -> DataFrame:
+    """key, sec, c for 1-second panes, emitted once final (append mode)."""
+    p = pane_counts(rows, key, delay)
+    return p.select(key, F.unix_seconds(F.col("window.start")).alias("sec"), "c")
+
+
+def change_point_writer(state_dir: str, out_dir: str, key: str, width: int = 300, keep_zero: bool = True):
+    """foreachBatch body: sliding counts in change-point form, from final panes.
+
+    A pane is final once the watermark passes it, so after a batch every
+    change point up to the newest final second ``H`` has all its panes. Each
+    batch unions the new panes with the carried panes of the last ``width``
+    seconds, runs the batch delta operator, emits the change points in
+    ``(H_prev, H]``, and carries the panes newer than ``H - width``. State is
+    bounded by ``width`` seconds of panes (no per-window copies); state and
+    output are written under the batch id, so a replayed batch rewrites the
+    same files.
+    """
+    from ..operators.windows import sliding_count
+
+    carry_dir, horizon_dir = f"{state_dir}/panes", f"{state_dir}/horizon"
+
+    def previous(spark, path, batch_id):
+        try:
+            df = spark.read.parquet(path)
+            df.schema
+        except Exception:  # nothing carried yet
+            return None
+        return df.filter(F.col("batch_id") < batch_id)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # several actions below: run the micro-batch once
+        try:
+            _write(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _write(batch: DataFrame, batch_id: int) -> None:
+        h_batch = batch.agg(F.max("sec")).first()[0]
+        if h_batch is None:  # empty micro-batch
+            return
+        spark = batch.sparkSession
+        hz = previous(spark, horizon_dir, batch_id)
+        carried = previous(spark, carry_dir, batch_id)
+        h_prev = None
+        if hz is not None:
+            last = hz.agg(F.max_by("h", "batch_id").alias("h"), F.max("batch_id").alias("b")).first()
+            h_prev, last_batch = last["h"], last["b"]
+        panes = batch.select(key, "sec", "c")
+        if carried is not None and h_prev is not None:
+            panes = panes.unionByName(carried.filter(F.col("batch_id") == last_batch).select(key, "sec", "c"))
+        h_new = max(h_batch, h_prev) if h_prev is not None else h_batch
+        points = sliding_count(panes, key, width=width, keep_zero=keep_zero, weight="c")
+        emit = points.filter(F.col("sec") <= F.lit(h_new))
+        if h_prev is not None:
+            emit = emit.filter(F.col("sec") > F.lit(h_prev))
+        emit.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        keep = panes.filter(F.col("sec") > F.lit(h_new - width))
+        keep.write.mode("overwrite").parquet(f"{carry_dir}/batch_id={batch_id}")
+        spark.createDataFrame([(int(h_new),)], "h BIGINT").write.mode("overwrite").parquet(
+            f"{horizon_dir}/batch_id={batch_id}")
+
+    return write
+
+
+def start_hashtag_change_points(posts: DataFrame, state_dir: str, out_dir: str, checkpoint: str,
+                                delay: str = "10 seconds", interval: str = BATCH_INTERVAL) -> StreamingQuery:
+    """Live 300 s / 1 s hashtag counts in change-point form."""
+    rows = topics.hashtag_rows(posts.filter(F.col("lang") == "en"), keep=("created_at",))
+    return (final_panes(rows, "token", delay).writeStream.outputMode("append")
+            .foreachBatch(change_point_writer(state_dir, out_dir, "token"))
+            .option("checkpointLocation", checkpoint).trigger(processingTime=interval).start())

@@ -25,6 +25,10 @@ def test_chained_sliding_window_equals_batch(spark, duck_small):
     assert check(spark, duck_small, "stream_hashtags_sliding") > 0
 
 
+def test_live_change_points_equal_batch_sliding_count(spark, duck_small):
+    assert check(spark, duck_small, "stream_hashtags_change_points") > 0
+
+
 def test_complete_mode_top_and_average(spark, duck_small):
     check(spark, duck_small, "stream_top_complete")
     check(spark, duck_small, "stream_avg_followers")
