@@ -78,3 +78,13 @@ def test_function_scorer_uses_arrow_batches_and_sentinel(spark):
     scorer = function_scorer(lambda s: s.str.count("bad").clip(upper=2))
     got = {r.id: r.sentiment for r in scorer(df).collect()}
     assert got == {1: 0, 2: -1, 3: 2, 4: -1}
+
+
+def test_cluster_settings_scale_with_input():
+    from microblog.config import cluster_settings
+
+    big = cluster_settings(100 * 10**12, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) % 8000 == 0
+    assert int(big["spark.sql.shuffle.partitions"]) * (256 << 20) >= 100 * 10**12
+    small = cluster_settings(10**9, 8)
+    assert small["spark.sql.shuffle.partitions"] == "8"
