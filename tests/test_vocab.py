@@ -17,8 +17,9 @@ def test_head_tail_lookup_equals_single_broadcast(spark, monkeypatch):
     vocab = V.build(prep.split(ex)[0])
     enc_small = _collect(V.encode(ex, vocab), "ids")
     dec_small = _collect(V.decode(V.encode(ex, vocab), vocab), "text")
-    monkeypatch.setattr(V, "HEAD_ROWS", 5)        # most tokens now live in the tail
-    monkeypatch.setattr(V, "HEAD_CHARS", 3)       # and long tokens never enter the head
+    monkeypatch.setattr(V, "HEAD_ROWS", 5)            # most tokens now live in the tail
+    monkeypatch.setattr(V, "HEAD_TOKEN_BYTES", 3)     # and long tokens never enter the head
+    monkeypatch.setattr(V, "HEAD_BYTES", 15)
     assert not V._fits_whole(vocab.select("token", "idx"), "token")
     enc_big = _collect(V.encode(ex, vocab), "ids")
     dec_big = _collect(V.decode(V.encode(ex, vocab), vocab), "text")
