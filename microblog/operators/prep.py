@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .. import schema
 from ..functions import text as T
 from ..functions.labels import label_remap
+from .common import bind_once
 
 # Strings a pandas CSV scan reads back as missing by default.
 NA_VALUES = [
@@ -105,19 +106,6 @@ def valid_text(c: Column, na_values: list[str] = NA_VALUES) -> Column:
     return c.isNotNull() & ~c.isin(*na_values) & ~T.is_blank(c)
 
 
-def with_filtered(df: DataFrame, name: str, expr: Column, keep) -> DataFrame:
-    """Add ``name`` = ``expr`` and keep the rows where ``keep(value)`` holds,
-    evaluating ``expr`` once per row.
-
-    A filter on an aliased column is pushed below the projection with the
-    alias substituted, so an expensive expression (a text cleaner) would run
-    again in every predicate. Binding it as the single element of a generated
-    array evaluates it exactly once.
-    """
-    others = [c for c in df.columns if c != name]
-    return df.select(*others, F.explode(F.filter(F.array(expr), keep)).alias(name))
-
-
 def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled corpus through the preparation rules, all rows: id, label, text.
 
@@ -125,7 +113,7 @@ def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     the cleaner evaluated once per row."""
     raw = rename_columns(schema.labelled_raw(spark, sf_dir), schema.LABELLED_COLUMNS)
     labelled = raw.select("id", label_remap("sentiment").alias("label"), "tweet").filter(F.col("label").isNotNull())
-    return with_filtered(labelled, "text", T.clean_full("tweet"), lambda c: valid_text(c)).select("id", "label", "text")
+    return bind_once(labelled, "text", T.clean_full("tweet"), keep=valid_text).select("id", "label", "text")
 
 
 def prepared(spark: SparkSession, sf_dir: str, n: int = 1000) -> DataFrame:

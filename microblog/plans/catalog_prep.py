@@ -9,6 +9,7 @@ from ..config import scratch_path
 from ..functions import labels as L
 from ..functions import text as T
 from ..operators import prep
+from ..operators.common import bind_once
 from ..operators import vocab as V
 from ..sinks import files as sink_files
 from ..sinks import keyed
@@ -30,7 +31,7 @@ def label_remap(spark, sf):
 def _cleaned_with_edges(spark, sf):
     lab = schema.labelled(spark, sf).select("id", "tweet")
     rows = lab.unionByName(schema.edge_rows(spark))
-    return rows.select("id", T.clean_full("tweet").alias("tweet"))
+    return bind_once(rows, "tweet", T.clean_full("tweet"))
 
 
 @query

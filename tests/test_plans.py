@@ -55,3 +55,14 @@ def test_text_cleaner_runs_once_per_row(spark):
     df = Q["prepared_examples"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("translate(array_join") == 1
+
+
+@pytest.mark.parametrize("name", ["json_extract_message", "user_fields", "dead_letter_split"])
+def test_json_is_parsed_once_per_row(spark, name):
+    plan = Q[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_missing_and_blank_rules_clean_once(spark):
+    plan = Q["drop_blank"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(array_join") == 1
