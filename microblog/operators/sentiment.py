@@ -68,11 +68,19 @@ def load(path: str) -> PipelineModel:
 def score(model: PipelineModel, df: DataFrame, text: str = "text", out: str = "sentiment") -> DataFrame:
     """Add ``out``: predicted class, or −1 when the text has no tokens.
     Works on batch and streaming frames alike."""
-    renamed = df.withColumn("text", F.col(text)) if text != "text" else df
-    scored = model.transform(renamed)
+    held = "_held_text" if text != "text" and "text" in df.columns else None
+    d = df.withColumnRenamed("text", held) if held else df
+    if text != "text":
+        d = d.withColumn("text", F.col(text))   # the pipeline reads ``text``
+    scored = model.transform(d)
     blank = F.size(T.ws_tokens(F.col("text"))) == 0
     res = scored.withColumn(out, F.when(blank, F.lit(BAD_INPUT)).otherwise(F.col("_prediction")).cast("int"))
-    return res.drop("_tokens", "_features", "_raw", "_prediction")
+    res = res.drop("_tokens", "_features", "_raw", "_prediction", "_probability")
+    if text != "text":
+        res = res.drop("text")
+        if held:
+            res = res.withColumnRenamed(held, "text")   # the caller's column, unchanged
+    return res
 
 
 def evaluate(model: PipelineModel, examples: DataFrame) -> DataFrame:

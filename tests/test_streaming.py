@@ -82,3 +82,13 @@ def test_live_dashboards_run_on_a_file_stream(spark, capsys):
         for q in qs:
             q.stop()
     assert "#" in capsys.readouterr().out
+
+
+def test_scored_documents_keep_the_original_text(spark):
+    from microblog import schema
+
+    docs = Q["score_upsert_stream"](spark, SF_SMALL)
+    orig = schema.tweets_base(spark, SF_SMALL).select(F.concat("id_str", F.lit("12345")).alias("_id"),
+                                                      F.col("text").alias("orig"))
+    j = docs.join(orig, "_id")
+    assert j.count() == docs.count() and j.filter(F.col("text") != F.col("orig")).count() == 0
