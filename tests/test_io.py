@@ -88,3 +88,13 @@ def test_cluster_settings_scale_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) * (256 << 20) >= 100 * 10**12
     small = cluster_settings(10**9, 8)
     assert small["spark.sql.shuffle.partitions"] == "8"
+
+
+def test_strict_parse_fails_on_bad_json(spark):
+    import pytest as _pytest
+
+    ok = spark.createDataFrame([('{"id_str":"1","text":"a"}',)], "value STRING")
+    assert ok.select(J.parse_strict("value", J.ID_TEXT_DDL).alias("m")).first().m.text == "a"
+    bad = spark.createDataFrame([("not json",)], "value STRING")
+    with _pytest.raises(Exception):
+        bad.select(J.parse_strict("value", J.ID_TEXT_DDL)).collect()
