@@ -168,22 +168,35 @@ def change_point_writer(state_dir: str, out_dir: str, key: str, width: int = 300
     change point up to the newest final second ``H`` has all its panes. Each
     batch unions the new panes with the carried panes of the last ``width``
     seconds, runs the batch delta operator, emits the change points in
-    ``(H_prev, H]``, and carries the panes newer than ``H - width``. State is
-    bounded by ``width`` seconds of panes (no per-window copies); state and
-    output are written under the batch id, so a replayed batch rewrites the
-    same files.
+    ``(H_prev, H]``, and carries the panes newer than ``H - width``.
+
+    State is bounded by ``width`` seconds of panes and lives in two slots:
+    batch N reads slot (N-1) mod 2 — checked against the batch id stored with
+    it — and overwrites slot N mod 2, so reading never lists old batches and
+    a retried batch N rewrites only its own slot and output directory.
     """
     from ..operators.windows import sliding_count
 
-    carry_dir, horizon_dir = f"{state_dir}/panes", f"{state_dir}/horizon"
+    def slot(n: int) -> str:
+        return f"{state_dir}/slot={n % 2}"
 
-    def previous(spark, path, batch_id):
+    def read_state(spark, batch_id: int):
+        """(h_prev, carried panes) left by batch ``batch_id - 1``, or (None, None)."""
+        if batch_id == 0:
+            return None, None
         try:
-            df = spark.read.parquet(path)
-            df.schema
+            hz = spark.read.parquet(f"{slot(batch_id - 1)}/horizon").first()
         except Exception:  # nothing carried yet
-            return None
-        return df.filter(F.col("batch_id") < batch_id)
+            return None, None
+        if hz is None or hz["batch_id"] != batch_id - 1:
+            raise RuntimeError(f"state for batch {batch_id - 1} missing in {state_dir}")
+        carried = spark.read.parquet(f"{slot(batch_id - 1)}/panes")
+        return hz["h"], carried
+
+    def write_state(spark, batch_id: int, h, panes: DataFrame) -> None:
+        panes.write.mode("overwrite").parquet(f"{slot(batch_id)}/panes")
+        spark.createDataFrame([(h, batch_id)], "h BIGINT, batch_id BIGINT").write.mode("overwrite").parquet(
+            f"{slot(batch_id)}/horizon")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # several actions below: run the micro-batch once
@@ -193,29 +206,23 @@ def change_point_writer(state_dir: str, out_dir: str, key: str, width: int = 300
             batch.unpersist()
 
     def _write(batch: DataFrame, batch_id: int) -> None:
-        h_batch = batch.agg(F.max("sec")).first()[0]
-        if h_batch is None:  # empty micro-batch
-            return
         spark = batch.sparkSession
-        hz = previous(spark, horizon_dir, batch_id)
-        carried = previous(spark, carry_dir, batch_id)
-        h_prev = None
-        if hz is not None:
-            last = hz.agg(F.max_by("h", "batch_id").alias("h"), F.max("batch_id").alias("b")).first()
-            h_prev, last_batch = last["h"], last["b"]
+        h_prev, carried = read_state(spark, batch_id)
+        h_batch = batch.agg(F.max("sec")).first()[0]
         panes = batch.select(key, "sec", "c")
-        if carried is not None and h_prev is not None:
-            panes = panes.unionByName(carried.filter(F.col("batch_id") == last_batch).select(key, "sec", "c"))
+        if carried is not None:
+            panes = carried.select(key, "sec", "c").unionByName(panes)
+        if h_batch is None:  # empty micro-batch: carry the state forward
+            if h_prev is not None:
+                write_state(spark, batch_id, h_prev, panes)   # slot N-1 is read, slot N written
+            return
         h_new = max(h_batch, h_prev) if h_prev is not None else h_batch
         points = sliding_count(panes, key, width=width, keep_zero=keep_zero, weight="c")
         emit = points.filter(F.col("sec") <= F.lit(h_new))
         if h_prev is not None:
             emit = emit.filter(F.col("sec") > F.lit(h_prev))
         emit.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
-        keep = panes.filter(F.col("sec") > F.lit(h_new - width))
-        keep.write.mode("overwrite").parquet(f"{carry_dir}/batch_id={batch_id}")
-        spark.createDataFrame([(int(h_new),)], "h BIGINT").write.mode("overwrite").parquet(
-            f"{horizon_dir}/batch_id={batch_id}")
+        write_state(spark, batch_id, int(h_new), panes.filter(F.col("sec") > F.lit(h_new - width)))
 
     return write
 

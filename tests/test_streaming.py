@@ -92,3 +92,22 @@ def test_scored_documents_keep_the_original_text(spark):
                                                       F.col("text").alias("orig"))
     j = docs.join(orig, "_id")
     assert j.count() == docs.count() and j.filter(F.col("text") != F.col("orig")).count() == 0
+
+
+def test_change_point_writer_is_idempotent_and_carries_state(spark):
+    from microblog.streaming import live
+
+    root = scratch_path(spark, "cp-writer")
+    w = live.change_point_writer(f"{root}/state", f"{root}/out", "token", width=300)
+    sch = "token STRING, sec BIGINT, c BIGINT"
+    b0 = spark.createDataFrame([("#a", 0, 1), ("#a", 10, 2)], sch)
+    empty = spark.createDataFrame([], sch)
+    b2 = spark.createDataFrame([("#a", 400, 1), ("#b", 900, 1)], sch)
+    w(b0, 0)
+    w(empty, 1)          # no-data batch: state carried forward
+    w(b2, 2)
+    w(b2, 2)             # replayed after a failure: same output
+    got = {(r.token, r.sec): r.n for r in spark.read.parquet(f"{root}/out").collect()}
+    # change points final up to second 900; #a: 0→1, 10→3, 300→2, 310→0, 400→1, 700→0
+    assert got == {("#a", 0): 1, ("#a", 10): 3, ("#a", 300): 2, ("#a", 310): 0, ("#a", 400): 1,
+                   ("#a", 700): 0, ("#b", 900): 1}
