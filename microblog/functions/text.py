@@ -49,7 +49,7 @@ def _col(c: Column | str) -> Column:
 def space_tokens(text: Column | str) -> Column:
     """``text.split(" ")`` with Java semantics."""
     t = _col(text)
-    stripped = F.regexp_replace(t, " +\\z", "")
+    stripped = F.rtrim(t, F.lit(" "))   # trailing spaces only (newlines stay), no regex
     return F.when((stripped == "") & (t != ""), F.array().cast("array<string>")).otherwise(
         F.split(stripped, " ")
     )
