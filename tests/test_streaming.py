@@ -111,3 +111,15 @@ def test_change_point_writer_is_idempotent_and_carries_state(spark):
     # change points final up to second 900; #a: 0→1, 10→3, 300→2, 310→0, 400→1, 700→0
     assert got == {("#a", 0): 1, ("#a", 10): 3, ("#a", 300): 2, ("#a", 310): 0, ("#a", 400): 1,
                    ("#a", 700): 0, ("#b", 900): 1}
+
+
+def test_change_point_writer_boolean_key_drops_zeros(spark):
+    from microblog.streaming import live
+
+    root = scratch_path(spark, "cp-verified")
+    w = live.change_point_writer(f"{root}/state", f"{root}/out", "verified", width=300, keep_zero=False)
+    sch = "verified BOOLEAN, sec BIGINT, c BIGINT"
+    w(spark.createDataFrame([(True, 0, 1), (False, 5, 2)], sch), 0)
+    w(spark.createDataFrame([(True, 1000, 1)], sch), 1)
+    got = {(r.verified, r.sec): r.n for r in spark.read.parquet(f"{root}/out").collect()}
+    assert got == {(True, 0): 1, (False, 5): 2, (True, 1000): 1}   # 300 and 305 fell to zero
