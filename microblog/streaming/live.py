@@ -130,15 +130,15 @@ def first_rows_printer(n: int = 10, order: list | None = None):
 
 
 def start_dashboards(posts: DataFrame, checkpoint_root: str, interval: str = BATCH_INTERVAL,
-                     delay: str = "10 minutes") -> list[StreamingQuery]:
+                     delay: str = "10 minutes", width: str = WINDOW, slide: str = SLIDE) -> list[StreamingQuery]:
     """Live view every ``interval``: finished hashtag and mention windows
     (largest first) and a text preview. The windows are chained aggregations,
     which Spark allows only in append mode: a window is shown once the
     watermark (``delay`` behind the newest post) has passed its end."""
     qs = []
     for name, frame, order, mode in [
-        ("hashtags", hashtag_windows(posts, delay=delay), [F.desc("n"), "token"], "append"),
-        ("mentions", mention_windows(posts, delay=delay), [F.desc("n"), "token"], "append"),
+        ("hashtags", hashtag_windows(posts, width, slide, delay), [F.desc("n"), "token"], "append"),
+        ("mentions", mention_windows(posts, width, slide, delay), [F.desc("n"), "token"], "append"),
         ("text", posts.select("text"), None, "append"),
     ]:
         qs.append(frame.writeStream.outputMode(mode).foreachBatch(first_rows_printer(10, order))

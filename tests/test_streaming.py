@@ -73,7 +73,8 @@ def test_live_dashboards_run_on_a_file_stream(spark, capsys):
     rp = Replay(spark, "dashboards").stage_by_time(schema.tweets(spark, SF_SMALL), 2)
     rp.arrive(0)
     rp.arrive(1)
-    qs = live.start_dashboards(rp.stream(), rp.checkpoint, interval="0 seconds", delay="1 hour")
+    qs = live.start_dashboards(rp.stream(), rp.checkpoint, interval="0 seconds", delay="1 hour",
+                               width="1 hour", slide="10 minutes")
     try:
         for q in qs:
             q.processAllAvailable()
