@@ -11,7 +11,7 @@ from conftest import SF_CHECK
 ORACLES = E.oracle_sql()
 QUERIES = E.queries()
 BATCH = [n for n in QUERIES if n in ORACLES and not n.startswith("stream_")
-         and n not in ("late_rows_dropped", "sentiment_model_roundtrip")]
+         and n != "late_rows_dropped"]
 
 
 def test_every_query_has_a_callable():
