@@ -98,3 +98,26 @@ def test_strict_parse_fails_on_bad_json(spark):
     bad = spark.createDataFrame([("not json",)], "value STRING")
     with _pytest.raises(Exception):
         bad.select(J.parse_strict("value", J.ID_TEXT_DDL)).collect()
+
+
+def test_kafka_batch_read_options_start_at_earliest(monkeypatch):
+    captured = {}
+
+    class Reader:
+        def format(self, f):
+            captured["format"] = f
+            return self
+
+        def options(self, **o):
+            captured.update(o)
+            return self
+
+        def load(self):
+            return "frame"
+
+    class FakeSpark:
+        read = Reader()
+
+    assert kafka.read_batch(FakeSpark(), "broker:9092") == "frame"
+    assert captured["format"] == "kafka" and captured["startingOffsets"] == "earliest"
+    assert "maxOffsetsPerTrigger" not in captured and captured["subscribe"] == schema.TOPIC
