@@ -7,6 +7,7 @@ how long texts a partition has.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -15,11 +16,21 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import scratch_path
+from ..config import ensure_checkpoint_dir, scratch_path
 
 BLOCK_BYTES = 8 << 20
 
 
+def prepare(spark: SparkSession) -> None:
+    """What every query needs: the shared folder, and workers that find this
+    package where it lies (on a cluster it is installed or sent as a py-file)."""
+    ensure_checkpoint_dir(spark)
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -10,9 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import ensure_checkpoint_dir
-from . import bpe, packing, separators, warc
-from .common import read_table
+from . import blockjoin, bpe, kdtree, packing, separators, warc
+from .common import prepare, read_table
 
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -37,12 +36,22 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separators.document_counts(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN, END_OF_TEXT).select("doc_id", "n_tokens")
 
 
+def op6_block_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth one, by int8 tiles and bounds."""
+    return blockjoin.search(read_table(spark, sf_dir, "embeddings"), divisor=20, k=20)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut into sequences of binary lengths."""
     docs = read_table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN, with_ids=False)
 
 
+def op9_kd_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best whole-number inner products of every fiftieth vector."""
+    return kdtree.search(read_table(spark, sf_dir, "embeddings"), divisor=50, k=5)
+
+
 OP2_SQL = """
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS body FROM pages),
      d AS (SELECT page_id, url, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest FROM p),
@@ -53,13 +62,33 @@ SELECT page_id, url, payload_bytes, payload_digest,
 FROM d LEFT JOIN r USING (payload_digest)
 """
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_warc, op3_token_counts, op8_packing)}
-ORACLE = {"op2_warc": OP2_SQL}
+_FINITE = "embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND vec_id IS NOT NULL"
+
+OP6_SQL = f"""
+WITH e AS (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+           WHERE {_FINITE} AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+     s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score,
+                  row_number() OVER (PARTITION BY q.r ORDER BY list_inner_product(q.v, c.v) DESC, c.vec_id) AS rank
+           FROM e q JOIN e c ON q.r <> c.r WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM s WHERE rank <= 20
+"""
+
+OP9_SQL = f"""
+WITH e AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+           FROM embeddings WHERE {_FINITE}),
+     s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score,
+                  row_number() OVER (PARTITION BY q.r ORDER BY list_inner_product(q.v, c.v) DESC, c.vec_id) AS rank
+           FROM e q JOIN e c ON q.r <> c.r WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM s WHERE rank <= 5
+"""
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_warc, op3_token_counts, op6_block_matrix_join, op8_packing, op9_kd_trees)}
+ORACLE = {"op2_warc": OP2_SQL, "op6_block_matrix_join": OP6_SQL, "op9_kd_trees": OP9_SQL}
 
 
 def _with_folder(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ensure_checkpoint_dir(spark)
+        prepare(spark)
         return query(spark, sf_dir)
 
     run.__name__, run.__doc__ = query.__name__, query.__doc__
