@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blockjoin, bpe, kdtree, packing, separators, warc
-from .common import prepare, read_table
+from . import blockjoin, bpe, kdtree, ngrams, packing, separators, warc
+from .common import fold, prepare, read_table
 
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -52,6 +52,13 @@ def op9_kd_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdtree.search(read_table(spark, sf_dir, "embeddings"), divisor=50, k=5)
 
 
+def op10_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every whole text; a fifth of the texts is held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    held = F.coalesce(fold(F.col("doc_id")) == 1, F.lit(True))
+    return ngrams.score(docs, ~held).select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 OP2_SQL = """
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS body FROM pages),
      d AS (SELECT page_id, url, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest FROM p),
@@ -82,7 +89,7 @@ WITH e AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, l
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM s WHERE rank <= 5
 """
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_warc, op3_token_counts, op6_block_matrix_join, op8_packing, op9_kd_trees)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_warc, op3_token_counts, op6_block_matrix_join, op8_packing, op9_kd_trees, op10_backoff_automaton)}
 ORACLE = {"op2_warc": OP2_SQL, "op6_block_matrix_join": OP6_SQL, "op9_kd_trees": OP9_SQL}
 
 
