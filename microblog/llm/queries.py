@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blockjoin, bpe, kdtree, ngrams, packing, separators, warc
+from . import blockjoin, bpe, kdtree, neardup, ngrams, packing, separators, warc
 from .common import fold, prepare, read_table
 
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -41,6 +41,11 @@ def op6_block_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blockjoin.search(read_table(spark, sf_dir, "embeddings"), divisor=20, k=20)
 
 
+def op7_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut into sequences of binary lengths."""
     docs = read_table(spark, sf_dir, "documents")
@@ -89,7 +94,7 @@ WITH e AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, l
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM s WHERE rank <= 5
 """
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_warc, op3_token_counts, op6_block_matrix_join, op8_packing, op9_kd_trees, op10_backoff_automaton)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_warc, op3_token_counts, op6_block_matrix_join, op7_bottom_k, op8_packing, op9_kd_trees, op10_backoff_automaton)}
 ORACLE = {"op2_warc": OP2_SQL, "op6_block_matrix_join": OP6_SQL, "op9_kd_trees": OP9_SQL}
 
 
