@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blockjoin, bpe, kdtree, neardup, ngrams, packing, separators, warc
+from . import blockjoin, bpe, kdtree, neardup, ngrams, packing, quality, separators, toxicity, warc
 from .common import fold, prepare, read_table
 
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -36,6 +36,23 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separators.document_counts(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN, END_OF_TEXT).select("doc_id", "n_tokens")
 
 
+def _judged(scores: DataFrame, cut: float) -> DataFrame:
+    held = F.coalesce(fold(F.col("doc_id")) == 0, F.lit(True))
+    return scores.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+
+
+def op4_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text; a fifth of the labels is held out."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return _judged(quality.scored(docs, labels, fold(F.col("doc_id")) != 0), quality.CUT)
+
+
+def op5_recurrent_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text; a fifth of the labels is held out."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return _judged(toxicity.scored(docs, labels, fold(F.col("doc_id")) != 0), toxicity.CUT)
+
+
 def op6_block_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every twentieth one, by int8 tiles and bounds."""
     return blockjoin.search(read_table(spark, sf_dir, "embeddings"), divisor=20, k=20)
@@ -94,7 +111,7 @@ WITH e AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, l
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM s WHERE rank <= 5
 """
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_warc, op3_token_counts, op6_block_matrix_join, op7_bottom_k, op8_packing, op9_kd_trees, op10_backoff_automaton)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_warc, op3_token_counts, op4_bradley_terry, op5_recurrent_network, op6_block_matrix_join, op7_bottom_k, op8_packing, op9_kd_trees, op10_backoff_automaton)}
 ORACLE = {"op2_warc": OP2_SQL, "op6_block_matrix_join": OP6_SQL, "op9_kd_trees": OP9_SQL}
 
 
