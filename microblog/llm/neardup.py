@@ -3,22 +3,24 @@
 1. A text's distinct five-word shingles become 64-bit hashes; its sketch is the
    ``K`` smallest. Texts with equal sets form a group (one partial aggregate, so
    thousands of copies cost one row), which alone goes on.
-2. Inverted lists of the retained values give candidates. Values held by at
-   most ``SHORT`` groups give all their pairs. Values held by more are not
-   paired out: in rounds, every value names a hub at random, and each of its
-   other groups is a candidate with the hub, so a list costs one pair per
-   member. Groups linked already need no further test, the next round looks
-   only between components, and rounds go on until one finds no new link.
+2. Inverted lists of the ``LISTS`` smallest retained values give candidates.
+   Lists of at most ``SHORT`` groups give all their pairs. Longer ones are not
+   paired out: in rounds, every list names a hub, and each of its groups in
+   another component is a candidate with the hub, so a list costs one pair per
+   member. Even rounds draw the hub from the groups that stand in most long lists
+   (a text that others were copied from is in all of its copies' lists), odd
+   rounds from all. A round looks only between components; after ``LEAST_ROUNDS``
+   rounds, one that finds no new link is the last.
 3. The union sketch (the K smallest values of both sketches) estimates the
    similarity; pairs far below the threshold go.
-4. Remaining pairs are confirmed on the full sets. Of the pairs of a short list
-   each group's best is confirmed first, then whatever still lies between two
-   components: a pair inside a component cannot change the result.
+4. The others are confirmed on the full sets, which are computed once for the
+   groups concerned. Each group's best pair comes first, then whatever still
+   lies between two components: a pair inside one cannot change the result.
 5. Components by minimum labels and pointer jumping.
 
 Two texts above the threshold share each of the smallest values of their union
-with probability >= 0.75, so a pair shares no retained value with probability
-below 0.25 ** K. Sets of at most K shingles are kept whole.
+with probability >= 0.75, so a pair is in no common list with probability
+below 0.25 ** LISTS. Sets of at most K shingles are kept whole.
 
 Definitions: A-Z lower-cased, words ``[^\\x20\\x09-\\x0D]+``; fewer words than a
 shingle: the whole sequence is one; null and empty texts have an empty set and
@@ -41,9 +43,10 @@ from .common import blocks, column, materialise, texts_of
 
 WORDS = 5
 K = 32
+LISTS = 12
 SHORT = 24
 MARGIN = 0.35  # five standard deviations of the estimate at 0.75
-ROUNDS = 12
+LEAST_ROUNDS, ROUNDS = 2, 12
 
 
 class _Hashes(dict):
@@ -99,16 +102,16 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, comp): the smallest node that each node of the links (a, b)
     reaches. Each round takes the smallest label among the neighbours and then
     that label's own label; every round is a written table."""
-    both = materialise(edges.select("a", "b").union(edges.select("b", "a")).distinct(), name)
-    labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("comp")), name)
+    ends = edges.select("a", "b").union(edges.select("b", "a"))
+    both = materialise(ends.union(ends.select("a", F.col("a").alias("b"))).distinct(), name)  # every node beside itself
+    labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("comp")), name)
     while True:
         seen = labels.select(F.col("node").alias("b"), F.col("comp").alias("seen"))
-        near = both.join(seen, "b").groupBy(F.col("a").alias("node")).agg(F.min("seen").alias("near"))
-        lower = labels.join(near, "node").select("node", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
+        lower = both.join(seen, "b").groupBy(F.col("a").alias("node")).agg(F.min("seen").alias("comp"), F.min(F.when(F.col("a") == F.col("b"), F.col("seen"))).alias("old"))
         jump = labels.select(F.col("node").alias("comp"), F.col("comp").alias("far"))
-        new = materialise(lower.join(jump, "comp", "left").select("node", "old", F.least("comp", F.coalesce("far", "comp")).alias("comp")), name)
+        new = materialise(lower.join(jump, "comp").select("node", "old", F.least("comp", "far").alias("comp")), name)
         labels = new.select("node", "comp")
-        if not new.where("old <> comp").limit(1).count():
+        if _empty(new.where("old <> comp")):
             return labels
 
 
@@ -118,17 +121,17 @@ def _estimate(k: int) -> Column:
     return F.size(F.array_intersect(union, F.array_intersect("xa", "xb"))) / F.size(union)
 
 
+def _empty(df: DataFrame) -> bool:
+    return not df.limit(1).count()
+
+
 class _Links:
-    """The groups, what is linked so far, and the tests on pairs of groups."""
+    """The groups, how they are linked so far, and the tests on pairs of them."""
 
     def __init__(self, docs: DataFrame, groups: DataFrame, words: int, percent: int, k: int, key: str, text: str):
         self.docs, self.groups, self.words, self.percent, self.k, self.key, self.text = docs, groups, words, percent, k, key, text
-        self.edges: DataFrame | None = None
         self.labels: DataFrame | None = None
-
-    def add(self, edges: DataFrame) -> None:
-        self.edges = edges if self.edges is None else materialise(self.edges.union(edges), "links")
-        self.labels = components(self.edges)
+        self.sets: DataFrame | None = None
 
     def labelled(self, rows: DataFrame, node: str, name: str) -> DataFrame:
         if self.labels is None:
@@ -136,6 +139,22 @@ class _Links:
         own = self.labels.select(F.col("node").alias(node), F.col("comp").alias(name))
         return rows.join(own, node, "left").withColumn(name, F.coalesce(name, node))
 
+    def add(self, edges: DataFrame) -> bool:
+        """Links (a, b) join components; whether any did."""
+        both = self.labelled(self.labelled(edges.select("a", "b"), "a", "ca"), "b", "cb")
+        new = materialise(both.where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "links")
+        if _empty(new):
+            return False
+        joined = components(new)  # of the components before
+        if self.labels is None:
+            self.labels = joined
+            return True
+        now = joined.select(F.col("node").alias("comp"), F.col("comp").alias("new"))
+        old = self.labels.join(now, "comp", "left").select("node", F.coalesce("new", "comp").alias("comp"))
+        fresh = joined.join(self.labels.select("node"), "node", "left_anti")  # groups that were alone
+        self.labels = materialise(old.union(fresh.select("node", "comp")), "labels")
+        return True
+
     def apart(self, pairs: DataFrame) -> DataFrame:
         """The pairs that lie between two components."""
         if self.labels is None:
@@ -150,38 +169,50 @@ class _Links:
         whole = (F.col("na") <= self.k) & (F.col("nb") <= self.k)
         both = (pairs.select("a", "b").join(a, "a").join(b, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent)
                 .withColumn("est", _estimate(self.k)))
-        bar = F.when(whole, F.lit(0.0)).otherwise(F.lit(max(0.0, self.percent / 100 - MARGIN - 0.05)))
-        return both.where(F.col("est") >= bar).select("a", "b", "est")
-
-    def sets_of(self, nodes: DataFrame) -> DataFrame:
-        """(g, items): the full sets of some groups, computed from the text of
-        one document each."""
-        wanted = self.groups.join(nodes.distinct(), "g").select("g", F.col("rep").alias(self.key), F.col("print").alias("wanted"))
+        margin = F.when(whole, F.lit(1e-6)).otherwise(F.lit(MARGIN))
+        return materialise(both.where(F.col("est") >= self.percent / 100 - margin).select("a", "b", "est"), "likely")
+
+    def need(self, pairs: DataFrame) -> None:
+        """Full sets of all groups in ``pairs``, each computed once, from the
+        text of one document of the group."""
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("g")).distinct()
+        if self.sets is not None:
+            nodes = materialise(nodes.join(self.sets.select("g"), "g", "left_anti"), "nodes")
+            if _empty(nodes):
+                return
+        wanted = materialise(self.groups.join(nodes, "g").select("g", F.col("rep").alias(self.key), F.col("print").alias("wanted")), "wanted")
         rows = self.docs.select(self.key, self.text).join(wanted.select(self.key).distinct(), self.key, "left_semi")
         full = sketches(rows, self.words, self.k, self.key, self.text, full=True)
         found = full.join(wanted, (full["id"] == wanted[self.key]) & (full["print"] == wanted["wanted"]))
-        return found.dropDuplicates(["g"]).select("g", "items")
+        found = materialise(found.dropDuplicates(["g"]).select("g", "items"), "sets")
+        self.sets = found if self.sets is None else self.sets.union(found)
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """(a, b): the pairs whose full sets are similar enough."""
-        pairs = materialise(pairs.select("a", "b"), "pairs")
-        sets = materialise(self.sets_of(pairs.select(F.explode(F.array("a", "b")).alias("g"))), "sets")
-        a = sets.select(F.col("g").alias("a"), F.col("items").alias("xa"))
-        b = sets.select(F.col("g").alias("b"), F.col("items").alias("xb"))
-        met = pairs.join(a, "a").join(b, "b").withColumn("met", F.size(F.array_intersect("xa", "xb")))
+        a = self.sets.select(F.col("g").alias("a"), F.col("items").alias("xa"))
+        b = self.sets.select(F.col("g").alias("b"), F.col("items").alias("xb"))
+        met = pairs.select("a", "b").join(a, "a").join(b, "b").withColumn("met", F.size(F.array_intersect("xa", "xb")))
         united = F.size("xa") + F.size("xb") - F.col("met")
         return materialise(met.where(F.col("met") * 100 >= united * self.percent).select("a", "b"), "links")
 
+    def test(self, pairs: DataFrame, best_first: bool) -> bool:
+        """Confirm likely pairs; whether there was a link. ``best_first``: each
+        group's best pair, then only what still lies between two components."""
+        self.need(pairs)
+        if not best_first:
+            return self.add(self.confirmed(pairs))
+        either = pairs.select("est", "a", "b").unionByName(pairs.select("est", F.col("a").alias("b"), F.col("b").alias("a")))
+        best = either.groupBy("a").agg(F.max(F.struct("est", "b")).alias("best")).select(*_ordered("a", "best.b")).distinct()
+        some = self.add(self.confirmed(best))
+        rest = materialise(self.apart(pairs.select("a", "b").join(best, ["a", "b"], "left_anti")), "pairs")
+        return (not _empty(rest) and self.add(self.confirmed(rest))) or some
+
 
 def _ordered(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _empty(df: DataFrame) -> bool:
-    return not df.limit(1).count()
-
-
-def classes(docs: DataFrame, words: int = WORDS, percent: int = 75, k: int = K, short: int = SHORT, key: str = "doc_id", text: str = "text") -> DataFrame:
+def classes(docs: DataFrame, words: int = WORDS, percent: int = 75, k: int = K, lists: int = LISTS, short: int = SHORT, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_shingles, component): a row per row of ``docs``; the component is
     the smallest id that its document reaches."""
     rows = materialise(sketches(docs, words, k, key, text), "sketches")
@@ -190,52 +221,43 @@ def classes(docs: DataFrame, words: int = WORDS, percent: int = 75, k: int = K,
                          .withColumn("g", F.monotonically_increasing_id()), "groups")
     links = _Links(docs, groups, words, percent, k, key, text)
 
-    members = some.select("id", "print").join(groups.select("print", "g", "rep"), "print").select("id", "g", "rep")
+    members = some.select("id", "print").join(groups.select("print", "g"), "print").select("id", "g")
     twice = members.groupBy("id").agg(F.min("g").alias("a"), F.max("g").alias("z")).where("a <> z").select("id", "a")
-    repeated = materialise(members.join(twice, "id").where("g <> a").select("a", F.col("g").alias("b")).distinct(), "links")
-    links.add(repeated)
+    links.add(members.join(twice, "id").where("g <> a").select("a", F.col("g").alias("b")))
+
+    held = groups.select("g", "n", F.explode(F.slice("items", 1, lists)).alias("v"))
+    sizes = held.groupBy("v").agg(F.count("*").alias("size")).where("size > 1")
+    held = materialise(held.join(sizes, "v"), "lists")
+    fits = lambda n, m: F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
-    held = groups.select("g", "n", F.explode("items").alias("v"))
-    lists = held.groupBy("v").agg(F.count("*").alias("size")).where("size > 1")
-    held = materialise(held.join(lists, "v"), "lists")
+    def hubs(rows: DataFrame, r: int) -> DataFrame:
+        """Each list's members with its hub, if that is in another component."""
+        now = links.labelled(rows, "g", "comp")
+        draw = F.xxhash64("g", "v", F.lit(r)) if r % 2 else F.struct(-F.col("central"), F.xxhash64("g", F.lit(r)))
+        hub = now.groupBy("v").agg(F.min_by(F.struct("g", "comp", "n"), draw).alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        met = now.join(hub.where("lo <> hi").select("v", "hub"), "v").where("comp <> hub.comp").where(fits("n", "hub.n"))
+        return met.select(*_ordered("g", "hub.g"))
 
-    # short lists: all their pairs, the best of each group first
     one = held.where(F.col("size") <= short).select("v", "g", "n")
-    other = one.select("v", F.col("g").alias("h"), F.col("n").alias("m"))
-    near = one.join(other, "v").where("g < h").where(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
-    pairs = materialise(links.likely(links.apart(near.select(F.col("g").alias("a"), F.col("h").alias("b")).distinct())), "likely")
-    either = pairs.select("a", "b", "est", F.explode(F.array("a", "b")).alias("g"))
-    best = either.groupBy("g").agg(F.max(F.struct("est", "a", "b")).alias("best")).select("best.a", "best.b").distinct()
-    links.add(links.confirmed(best))
-    rest = links.apart(pairs.select("a", "b").exceptAll(best))
-    if not _empty(rest):
-        links.add(links.confirmed(rest))
-
-    # long lists: a hub per value and round, until a round links nothing
+    near = one.join(one.select("v", F.col("g").alias("h"), F.col("n").alias("m")), "v").where("g < h").where(fits("n", "m"))
     long = held.where(F.col("size") > short).select("v", "g", "n")
-    tested = None
-    for r in range(ROUNDS if not _empty(long) else 0):
-        now = materialise(links.labelled(long, "g", "comp"), "long-lists")
-        draw = F.xxhash64("g", "v", F.lit(r))
-        hubs = now.groupBy("v").agg(F.min_by(F.struct("g", "comp", "n"), draw).alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("v", "hub")
-        tries = now.join(hubs, "v").where("comp <> hub.comp").where(F.least("n", "hub.n") * 100 >= F.greatest("n", "hub.n") * percent)
-        tries = tries.select(*_ordered("g", "hub.g")).distinct()
-        if tested is not None:
-            tries = tries.join(tested, ["a", "b"], "left_anti")
-        tries = materialise(links.likely(tries), "likely")
-        if _empty(tries):
-            break
-        found = links.confirmed(tries)
-        tested = materialise(tries.select("a", "b") if tested is None else tested.union(tries.select("a", "b")), "tested")
-        if _empty(found):
+    long = materialise(long.join(long.groupBy("g").agg(F.count("*").alias("central")), "g"), "long-lists")
+    first = near.select(F.col("g").alias("a"), F.col("h").alias("b")).union(hubs(long, 0)).distinct()
+    pairs = links.likely(first)
+    if not _empty(pairs):
+        links.test(pairs, best_first=True)
+    tested = pairs.select("a", "b")
+    for r in range(1, ROUNDS if not _empty(long) else 0):
+        pairs = links.likely(hubs(long, r).distinct().join(tested, ["a", "b"], "left_anti"))
+        if (_empty(pairs) or not links.test(pairs, best_first=False)) and r + 1 >= LEAST_ROUNDS:
             break
-        links.add(found)
+        tested = tested.union(pairs.select("a", "b"))
 
     # components of groups, by the smallest id of their documents
     labels = links.labelled(groups.select("g", "rep", "print"), "g", "comp")
     least = labels.groupBy("comp").agg(F.min("rep").alias("component"))
     labels = labels.join(least, "comp").select("print", "component")
-    linked = rows.where("n > 0 and id is not null").select("id", "n", "print").join(labels, "print").select("id", "n", "component")
+    linked = some.select("id", "n", "print").join(labels, "print").select("id", "n", "component")
     alone = rows.where("n = 0 or id is null").select("id", "n", F.col("id").alias("component"))
     return linked.union(alone).select("id", F.col("n").alias("n_shingles"), "component")
 
