@@ -81,6 +81,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="microblog-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(configured)
@@ -92,12 +95,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared checkpoint folder (never reused)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/microblog/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few helpers that touch the local FS."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -34,6 +34,9 @@ def prefix_sum(df: DataFrame, keys: list[str], order: str, value: str | list[str
     ``order`` <= this row's ``order`` (ties summed together). ``value`` and
     ``out`` may be parallel lists to carry several running sums in one pass.
 
+    Rows without an ``order`` have no place and are left out; null keys count as
+    one key.
+
     With ``last_per_order`` only one row per (keys, order) is kept, so several
     delta rows at the same position collapse into one output row without an
     extra shuffle.
@@ -41,7 +44,7 @@ def prefix_sum(df: DataFrame, keys: list[str], order: str, value: str | list[str
     values = [value] if isinstance(value, str) else list(value)
     outs = [out] if isinstance(out, str) else list(out)
     blk = "_blk"
-    d = df.withColumn(blk, F.floor(F.col(order) / F.lit(block)).cast("bigint"))
+    d = df.where(F.col(order).isNotNull()).withColumn(blk, F.floor(F.col(order) / F.lit(block)).cast("bigint"))
     part = [*keys, blk]
     w = Window.partitionBy(*part).orderBy(order)
     frame = w.rangeBetween(Window.unboundedPreceding, 0)
@@ -58,7 +61,12 @@ def prefix_sum(df: DataFrame, keys: list[str], order: str, value: str | list[str
     offsets = totals.select(*part, *[
         F.coalesce(F.sum(f"_tot{i}").over(wb), F.lit(0)).alias(f"_off{i}") for i in range(len(values))
     ])
-    res = local.join(offsets, part)
+    a, b = local.alias("a"), offsets.alias("b")
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in part]  # a null key is a key
+    on = same[0]
+    for c in same[1:]:
+        on = on & c
+    res = a.join(b, on).select("a.*", *[f"b._off{i}" for i in range(len(values))])
     for i, o in enumerate(outs):
         res = res.withColumn(o, (F.col(f"_local{i}") + F.col(f"_off{i}")).cast("bigint"))
     return res.drop(blk, *[f"_local{i}" for i in range(len(values))], *[f"_off{i}" for i in range(len(values))])

@@ -10,6 +10,7 @@ from .. import schema
 from ..functions import text as T
 from ..functions.labels import label_remap
 from .common import bind_once
+from .indexing import global_rank
 
 # Strings a pandas CSV scan reads back as missing by default.
 NA_VALUES = [
@@ -21,9 +22,9 @@ NA_VALUES = [
 # Columns dropped from the labelled corpus.
 DROPPED = ["id", "date", "query", "user"]
 
-# The 70/30 split keeps ids with pmod(id * 7919, 10) < 7.
-SPLIT_MULTIPLIER = 7919
-SPLIT_TRAIN_DECILES = 7
+# Fixed value: the 70/30 split trains on ids whose md5 (of the id as text) is
+# below this prefix: 0.7 of the range of four hexadecimal digits.
+SPLIT_BELOW = "b333"
 
 # Seed of the reproducible row shuffle.
 SHUFFLE_SEED = 42
@@ -57,7 +58,7 @@ def drop_blank(df: DataFrame, col: str) -> DataFrame:
 
 
 def shuffle_key(key: str, seed: int = SHUFFLE_SEED) -> Column:
-    return F.xxhash64(F.col(key), F.lit(seed))
+    return F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
 
 
 def shuffle_rows(df: DataFrame, key: str, seed: int = SHUFFLE_SEED) -> DataFrame:
@@ -66,9 +67,15 @@ def shuffle_rows(df: DataFrame, key: str, seed: int = SHUFFLE_SEED) -> DataFrame
     return df.orderBy(shuffle_key(key, seed), F.col(key))
 
 
+def shuffled_positions(df: DataFrame, key: str, seed: int = SHUFFLE_SEED) -> DataFrame:
+    """Every row with its position (from 1) in the shuffled order, without a
+    sort in one task."""
+    return global_rank(df.withColumn("_key", shuffle_key(key, seed)), [F.col("_key"), F.col(key)], out="pos").drop("_key")
+
+
 def is_train(id_col: Column | str) -> Column:
     c = F.col(id_col) if isinstance(id_col, str) else id_col
-    return F.pmod(c * F.lit(SPLIT_MULTIPLIER), F.lit(10)) < F.lit(SPLIT_TRAIN_DECILES)
+    return F.md5(c.cast("string").cast("binary")) < F.lit(SPLIT_BELOW)
 
 
 def split(df: DataFrame, id_col: str = "id") -> tuple[DataFrame, DataFrame]:
@@ -77,10 +84,6 @@ def split(df: DataFrame, id_col: str = "id") -> tuple[DataFrame, DataFrame]:
     return df.filter(flag), df.filter(~flag)
 
 
-def random_split(df: DataFrame, ratio: float = 0.7, seed: int = SHUFFLE_SEED) -> list[DataFrame]:
-    return df.randomSplit([ratio, 1 - ratio], seed)
-
-
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     """A few rows to look at (no order implied)."""
     return df.limit(n)
@@ -91,16 +94,6 @@ def head_n(df: DataFrame, n: int, key: str) -> DataFrame:
     return df.orderBy(F.col(key)).limit(n)
 
 
-def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rename → keep id for ordering → clean → remap (before any row filter)."""
-    raw = rename_columns(schema.labelled_raw(spark, sf_dir), schema.LABELLED_COLUMNS)
-    return raw.select(
-        "id",
-        label_remap("sentiment").alias("label"),
-        T.clean_full("tweet").alias("text"),
-    )
-
-
 def valid_text(c: Column, na_values: list[str] = NA_VALUES) -> Column:
     """Survives the missing rule (C9) and the blank rule (C10)."""
     return c.isNotNull() & ~c.isin(*na_values) & ~T.is_blank(c)
@@ -109,13 +102,18 @@ def valid_text(c: Column, na_values: list[str] = NA_VALUES) -> Column:
 def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled corpus through the preparation rules, all rows: id, label, text.
 
-    Same rows as ``drop_blank(drop_missing(cleaned, ["text"]), "text")`` with
+    Same rows as ``drop_blank(drop_missing(…))`` of the cleaned corpus with
     the cleaner evaluated once per row."""
     raw = rename_columns(schema.labelled_raw(spark, sf_dir), schema.LABELLED_COLUMNS)
     labelled = raw.select("id", label_remap("sentiment").alias("label"), "tweet").filter(F.col("label").isNotNull())
     return bind_once(labelled, "text", T.clean_full("tweet"), keep=valid_text).select("id", "label", "text")
 
 
-def prepared(spark: SparkSession, sf_dir: str, n: int = 1000) -> DataFrame:
-    """The preparation job: examples, first ``n`` by id."""
+def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The preparation job: the whole prepared corpus with its shuffled position."""
+    return shuffled_positions(examples(spark, sf_dir), "id")
+
+
+def first_prepared(spark: SparkSession, sf_dir: str, n: int = 1000) -> DataFrame:
+    """The step after it: a subset of ``n`` examples, by id."""
     return head_n(examples(spark, sf_dir), n, "id")

@@ -34,7 +34,7 @@ def running_average(df: DataFrame, sec: str = "sec", followers: str = "followers
     Panes are summed first; the global running total then uses the blocked
     prefix sum, so no window runs over the whole table in one task.
     """
-    st = batch_stats(df, sec, followers)
+    st = batch_stats(df.where(F.col(sec).isNotNull()), sec, followers)
     both = prefix_sum(st, [], sec, ["n", "total"], ["total_users", "total_followers"])
     return both.select(
         sec, "total_users",

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..config import scratch_path
+from ..functions import json as J
 from ..functions import labels as L
 from ..functions import text as T
 from ..operators import prep
@@ -46,7 +47,12 @@ def drop_blank(spark, sf):
 
 @query
 def prepared_examples(spark, sf):
-    return prep.prepared(spark, sf).select("id", "label", F.col("text").alias("tweet"))
+    return prep.first_prepared(spark, sf).select("id", "label", F.col("text").alias("tweet"))
+
+
+@query
+def prep_pipeline(spark, sf):
+    return prep.prepared(spark, sf).select("id", "label", F.col("text").alias("tweet"), "pos")
 
 
 @query
@@ -59,9 +65,35 @@ def split_70_30(spark, sf):
     return schema.labelled(spark, sf).select("id", prep.is_train("id").alias("is_train"))
 
 
+# Fixed value: added to the small ids of the tables, it makes them as long as
+# those of real posts.
+LONG_ID = 1_312_534_567_590_000_000
+
+
+@query
+def split_70_30_long_ids(spark, sf):
+    ids = schema.labelled(spark, sf).select((F.col("id") + F.lit(LONG_ID)).alias("id"))
+    return ids.select("id", prep.is_train("id").alias("is_train"))
+
+
 @query
 def shuffle_rows(spark, sf):
-    return prep.shuffle_rows(schema.labelled(spark, sf).select("id", "tweet"), "id")
+    return prep.shuffled_positions(schema.labelled(spark, sf).select("id", "tweet"), "id")
+
+
+@query
+def labelled_csv_scan(spark, sf):
+    """The raw corpus, texts as they are, through CSV files."""
+    path = scratch_path(spark, "labelled-csv")
+    sink_files.write_csv(schema.labelled(spark, sf), path, header=False)
+    return src_files.read_labelled_csv(spark, path, escaped=True)
+
+
+@query
+def dead_letter_rows(spark, sf):
+    """What does not parse, with all that is needed to replay it."""
+    env = schema.bad_record_envelope(spark, sf).select("offset", "value")
+    return J.dead(J.route(env, "value")).select("offset", F.col("value").cast("string").alias("value"), "reason")
 
 
 @query
@@ -86,7 +118,7 @@ def vocab_build(spark, sf):
 
 @query
 def vocab_size(spark, sf):
-    return V.size(_vocab(spark, sf))
+    return V.size(V.token_frequencies(_train(spark, sf)))
 
 
 @query

@@ -25,8 +25,14 @@ oracle("drop_blank", LAB + _EDGES + f"""SELECT id, tweet FROM c WHERE tweet IS N
 AND NOT {S.is_blank('tweet')}""")
 oracle("prepared_examples", EX + "SELECT id, label, text AS tweet FROM examples ORDER BY id LIMIT 1000")
 oracle("head_n", LAB + "SELECT id, tweet FROM labelled ORDER BY id LIMIT 100")
-oracle("split_70_30", LAB + "SELECT id, ((id * 7919) % 10 + 10) % 10 < 7 AS is_train FROM labelled")
-oracle("shuffle_rows", LAB + "SELECT id, tweet FROM labelled")
+oracle("split_70_30", LAB + "SELECT id, md5(CAST(id AS VARCHAR)) < 'b333' AS is_train FROM labelled")
+oracle("split_70_30_long_ids", LAB + """SELECT 1312534567590000000 + id AS id,
+md5(CAST(1312534567590000000 + id AS VARCHAR)) < 'b333' AS is_train FROM labelled""")
+oracle("prep_pipeline", EX + """SELECT id, label, text AS tweet,
+row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR) || '-42'), id) AS pos FROM examples""")
+oracle("labelled_csv_scan", LAB + "SELECT sentiment, id, date, query, \"user\", tweet FROM labelled")
+oracle("shuffle_rows", LAB + """SELECT id, tweet, row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR) || '-42'), id) AS pos
+FROM labelled""")
 oracle("csv_scan_roundtrip", EX + "SELECT label, text FROM examples")
 
 VOCAB = f""", freq AS (
@@ -82,4 +88,12 @@ oracle("point_lookup", S.with_(S.TWEETS) + f"""SELECT id_str || {sql_str(DOC_KEY
 WHERE event_id = {LOOKUP_EVENT}""")
 
 # every test row must get the same class from the reloaded model
-oracle("sentiment_model_roundtrip", EX + "SELECT count(*) AS n_equal FROM examples WHERE NOT (((id * 7919) % 10 + 10) % 10 < 7)")
+oracle("sentiment_model_roundtrip", EX + "SELECT count(*) AS n_equal FROM examples WHERE md5(CAST(id AS VARCHAR)) >= 'b333'")
+oracle("sentiment_train_eval", EX + "SELECT count(*) AS n, true AS below_uniform FROM examples WHERE md5(CAST(id AS VARCHAR)) >= 'b333'")
+oracle("score_upsert_stream", S.with_(S.TWEETS) + f"""SELECT id_str || {sql_str(DOC_KEY_SUFFIX)} AS _id, text, true AS same_class
+FROM tweets WHERE event_id % 10 NOT IN (0, 1)""")
+oracle("dead_letter_rows", S.with_(S.TWEETS) + """SELECT event_id AS "offset",
+CASE WHEN event_id % 10 = 1 THEN 'not json' ELSE '{"id_str":"' || id_str || '","user":{"verified":' || CAST(verified AS VARCHAR)
+  || ',"followers_count":' || CAST(followers_count AS VARCHAR) || ',"friends_count":' || CAST(friends_count AS VARCHAR) || '}}' END AS "value",
+CASE WHEN event_id % 10 = 1 THEN 'bad_json' ELSE 'missing_field' END AS reason
+FROM tweets WHERE event_id % 10 IN (0, 1)""")

@@ -9,6 +9,7 @@ oracle("stream_raw_append", ORACLE["tweets_base"])
 oracle("stream_hashtags_sliding", ORACLE["hashtags_window_dense"])
 oracle("stream_top_complete", ORACLE["top_hashtags"])
 oracle("stream_hashtags_change_points", ORACLE["hashtags_sliding"])
+oracle("stream_mentions_change_points", ORACLE["mentions_sliding"])
 oracle("stream_avg_followers", ORACLE["avg_followers_total"])
 oracle("stream_restart_equals_single_run", ORACLE["hashtag_counts"])
 oracle("late_rows_dropped", f"""

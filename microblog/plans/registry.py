@@ -21,27 +21,13 @@ def _wrap(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    import importlib
+    from . import catalog, catalog_ml, catalog_prep, catalog_stream  # noqa: F401  each registers its queries
 
-    from . import catalog
-
-    for part in ("catalog_prep", "catalog_stream", "catalog_ml"):
-        try:  # one optional dependency missing must not hide the other parts
-            importlib.import_module(f"{__package__}.{part}")
-        except ImportError:
-            pass
     return {k: _wrap(v) for k, v in catalog.QUERIES.items()}
 
 
 def all_oracles() -> dict[str, str]:
-    import importlib
-
-    from . import oracle
+    from . import oracle, oracle_prep, oracle_stream  # noqa: F401  each registers its SQL
 
-    for part in ("oracle_prep", "oracle_stream"):
-        try:
-            importlib.import_module(f"{__package__}.{part}")
-        except ImportError:
-            pass
     qs = all_queries()
     return {k: v for k, v in oracle.ORACLE.items() if k in qs}

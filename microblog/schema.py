@@ -22,9 +22,8 @@ EXAMPLE_DDL = "label INT, text STRING"
 ENVELOPE_DDL = ("key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, "
                 "timestamp TIMESTAMP, timestampType INT")
 
-# The Kafka topic and consumer group the feed is published to.
-TOPIC = "twitter_topic_3"
-GROUP_ID = "twitter_group_2"
+# Topic name in the envelopes that are built from the tables.
+TOPIC = "posts"
 
 # Constants filling the labelled corpus columns that are dropped.
 LABELLED_DATE = "Mon Apr 06 22:19:45 PDT 2009"

@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
-    """Header row, no index column; values written exactly (no trimming)."""
-    (df.write.mode(mode).option("header", header)
+def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite", escaped: bool = True) -> None:
+    """Header row, no index column; no trimming. A text's line ends become
+    backslash sequences (and its backslashes double), so that a row is a line and
+    readers can split the files; ``escaped=False`` writes texts as they are."""
+    def line(c: str) -> Column:
+        out = F.col(c)
+        for a, b in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+            out = F.replace(out, F.lit(a), F.lit(b))
+        return out.alias(c)
+
+    if escaped:
+        df = df.select(*[line(c) if t == "string" else F.col(c) for c, t in df.dtypes])
+    (df.write.mode(mode).option("header", header).option("quote", '"').option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))
 

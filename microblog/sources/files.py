@@ -2,27 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schema import EXAMPLE_DDL, LABELLED_COLUMNS, LABELLED_DDL
 
 VOCAB_DDL = "token STRING, idx INT"
 
 
-def read_labelled_csv(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
-    """The raw corpus with a declared schema (no inference) and the six
-    columns named by position. ``header=False`` keeps the first row."""
-    df = (spark.read.schema(LABELLED_DDL).option("header", header)
-          .option("mode", "PERMISSIVE").option("multiLine", True).csv(path))
-    return df.toDF(*LABELLED_COLUMNS)
+def _unescaped(df: DataFrame) -> DataFrame:
+    """Line ends and backslashes as they were before ``sinks.files.write_csv``."""
+    def plain(c: str) -> Column:
+        parts = F.transform(F.split(F.col(c), r"\\\\"), lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+        return F.array_join(parts, "\\").alias(c)
 
+    return df.select(*[plain(c) if t == "string" else F.col(c) for c, t in df.dtypes])
 
-def read_examples_csv(spark: SparkSession, path: str) -> DataFrame:
+
+def read_labelled_csv(spark: SparkSession, path: str, header: bool = False, escaped: bool = False,
+                      multiline: bool = False) -> DataFrame:
+    """The raw corpus with a declared schema (no inference) and the six columns
+    named by position; quotes inside a field are doubled. ``header=False`` keeps
+    the first row. Files are split among tasks; ``multiline`` is for files whose
+    fields hold line ends (one task reads a whole file then), ``escaped`` for
+    those that ``sinks.files.write_csv`` wrote."""
+    df = (spark.read.schema(LABELLED_DDL).option("header", header).option("mode", "PERMISSIVE")
+          .option("quote", '"').option("escape", '"').option("multiLine", multiline)
+          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    df = df.toDF(*LABELLED_COLUMNS)
+    return _unescaped(df) if escaped else df
+
+
+def read_examples_csv(spark: SparkSession, path: str, escaped: bool = True) -> DataFrame:
     """Processed examples: header row skipped, fields label, text in order.
     Empty fields read back as missing (the pandas round-trip rule)."""
-    return (spark.read.schema(EXAMPLE_DDL).option("header", True)
-            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-            .option("nullValue", "").csv(path))
+    df = (spark.read.schema(EXAMPLE_DDL).option("header", True).option("quote", '"').option("escape", '"')
+          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+          .option("nullValue", "").csv(path))
+    return _unescaped(df) if escaped else df
 
 
 def read_vocab(spark: SparkSession, path: str) -> DataFrame:

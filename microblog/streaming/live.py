@@ -10,7 +10,8 @@ windows over pane time, so raw rows are never copied once per window.
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,6 +20,7 @@ from ..functions import labels as L
 from ..functions import text as T
 from ..operators import sentiment, topics
 from ..sinks import keyed
+from ..sinks.keyed import path_missing
 
 # The reference's micro-batch interval and window.
 BATCH_INTERVAL = "1 second"
@@ -89,12 +91,13 @@ def scored_documents(envelopes: DataFrame, model: PipelineModel) -> DataFrame:
     Rows keep their ``reason``; good rows get ``_id``, serving-clean text,
     the predicted class (−1 when nothing is left to score) and a key check.
     """
-    routed = J.route(envelopes.select("value"), "value", J.ID_TEXT_DDL, ("id_str", "text"))
+    source = [c for c in ("topic", "partition", "offset") if c in envelopes.columns]
+    routed = J.route(envelopes.select(*source, "value"), "value", J.ID_TEXT_DDL, ("id_str", "text"))
     cleaned = routed.withColumn("clean", T.clean_serving("text"))
     scored = sentiment.score(model, cleaned, text="clean")
     key = L.document_key("id_str")
     return scored.select(
-        key.alias("_id"), "text", "sentiment", "reason",
+        *source, F.col("value").cast("string").alias("value"), key.alias("_id"), "text", "sentiment", "reason",
         F.when(F.col("reason") != J.REASON_OK, F.col("reason"))
          .when(~L.valid_document_key(key), F.lit("bad_key")).otherwise(F.lit(J.REASON_OK)).alias("status"),
     )
@@ -111,7 +114,8 @@ def document_writer(table: str, dead_letters: str):
                 return
             ok = batch.filter(F.col("status") == J.REASON_OK).select("_id", "text", "sentiment")
             keyed.upsert_batch(ok, table, batch_id)
-            bad = batch.filter(F.col("status") != J.REASON_OK).select("_id", "text", "status")
+            kept = [c for c in ("topic", "partition", "offset", "value") if c in batch.columns]
+            bad = batch.filter(F.col("status") != J.REASON_OK).select(*kept, "_id", "text", "status")
             keyed.upsert_batch(bad, dead_letters, batch_id)
         finally:
             batch.unpersist()
@@ -120,11 +124,16 @@ def document_writer(table: str, dead_letters: str):
 
 
 def first_rows_printer(n: int = 10, order: list | None = None):
-    """foreachBatch body: print the first ``n`` rows of each batch."""
+    """foreachBatch body: print the first ``n`` rows of each batch, or of each
+    window that the batch finishes."""
 
     def show(batch: DataFrame, batch_id: int) -> None:
-        b = batch.orderBy(*order) if order else batch
-        b.show(n, truncate=False)
+        if order and "window_end" in batch.columns:
+            rank = F.row_number().over(Window.partitionBy("window_end").orderBy(*order))
+            top = batch.withColumn("rank", rank).filter(F.col("rank") <= n).orderBy("window_end", "rank")
+            top.show(top.count() or n, truncate=False)
+        else:
+            (batch.orderBy(*order) if order else batch).show(n, truncate=False)
 
     return show
 
@@ -139,7 +148,7 @@ def start_dashboards(posts: DataFrame, checkpoint_root: str, interval: str = BAT
     for name, frame, order, mode in [
         ("hashtags", hashtag_windows(posts, width, slide, delay), [F.desc("n"), "token"], "append"),
         ("mentions", mention_windows(posts, width, slide, delay), [F.desc("n"), "token"], "append"),
-        ("text", posts.select("text"), None, "append"),
+        ("text", posts.filter(F.col("lang") == "en").select("text"), None, "append"),
     ]:
         qs.append(frame.writeStream.outputMode(mode).foreachBatch(first_rows_printer(10, order))
                   .option("checkpointLocation", f"{checkpoint_root}/{name}")
@@ -147,12 +156,12 @@ def start_dashboards(posts: DataFrame, checkpoint_root: str, interval: str = BAT
     return qs
 
 
-def start_feed(posts: DataFrame, servers: str, checkpoint: str, terms: list[str] | None = None) -> StreamingQuery:
+def start_feed(posts: DataFrame, servers: str, topic: str, checkpoint: str, terms: list[str] | None = None) -> StreamingQuery:
     """The producer job: posts → tracked-term filter → Kafka topic."""
     from ..sources import kafka
 
     kept = topics.track_terms(posts, terms) if terms else topics.track_terms(posts)
-    return kafka.write_stream(kept, servers, checkpoint)
+    return kafka.write_stream(kept, servers, checkpoint, topic)
 
 
 def final_panes(rows: DataFrame, key: str, delay: str) -> DataFrame:
@@ -186,8 +195,10 @@ def change_point_writer(state_dir: str, out_dir: str, key: str, width: int = 300
             return None, None
         try:
             hz = spark.read.parquet(f"{slot(batch_id - 1)}/horizon").first()
-        except Exception:  # nothing carried yet
-            return None, None
+        except AnalysisException as e:
+            if not path_missing(e):
+                raise  # damaged or unreadable state must fail the batch
+            return None, None  # nothing carried yet
         if hz is None or hz["batch_id"] != batch_id - 1:
             raise RuntimeError(f"state for batch {batch_id - 1} missing in {state_dir}")
         carried = spark.read.parquet(f"{slot(batch_id - 1)}/panes")

@@ -14,10 +14,11 @@ from conftest import SF_SMALL
 
 
 def test_kafka_source_and_sink_options():
-    src = kafka.source_options("broker:9092")
-    assert src["subscribe"] == schema.TOPIC and src["startingOffsets"] == "latest"
-    assert src["maxOffsetsPerTrigger"] == "100"
-    snk = kafka.sink_options("broker:9092")
+    src = kafka.source_options("broker:9092", "t")
+    assert src["subscribe"] == "t" and src["startingOffsets"] == "latest"
+    assert not {"maxOffsetsPerTrigger", "failOnDataLoss", "kafka.group.id"} & set(src)
+    assert kafka.source_options("b", "t", max_offsets_per_trigger=5)["maxOffsetsPerTrigger"] == "5"
+    snk = kafka.sink_options("broker:9092", "t")
     assert snk["kafka.acks"] == "all" and snk["kafka.enable.idempotence"] == "true"
     assert snk["kafka.compression.type"] == "gzip" and snk["kafka.linger.ms"] == "20"
     assert snk["kafka.batch.size"] == str(32 * 1024)
@@ -118,6 +119,58 @@ def test_kafka_batch_read_options_start_at_earliest(monkeypatch):
     class FakeSpark:
         read = Reader()
 
-    assert kafka.read_batch(FakeSpark(), "broker:9092") == "frame"
+    assert kafka.read_batch(FakeSpark(), "broker:9092", "t") == "frame"
     assert captured["format"] == "kafka" and captured["startingOffsets"] == "earliest"
-    assert "maxOffsetsPerTrigger" not in captured and captured["subscribe"] == schema.TOPIC
+    assert "maxOffsetsPerTrigger" not in captured and captured["subscribe"] == "t"
+    kafka.read_batch(FakeSpark(), "broker:9092", "t", starting_offsets='{"t":{"0":5}}')
+    assert captured["startingOffsets"] == '{"t":{"0":5}}'
+
+
+def test_csv_keeps_quotes_commas_backslashes_and_line_ends(spark, tmp_path):
+    import pandas as pd
+
+    texts = ['He said ""hi, there"" ok', 'a "quoted, part"', "back\\slash \\n", "one\ntwo\r\nthree", "tail\\"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "label INT, text STRING")
+    path = scratch_path(spark, "csv-hard")
+    sink_files.write_csv(df, path)
+    assert sorted(map(tuple, src_files.read_examples_csv(spark, path).collect())) == sorted(map(tuple, df.collect()))
+    f = str(tmp_path / "pandas.csv")
+    pd.DataFrame([(0, i, "d", "q", "u", t) for i, t in enumerate(texts)]).to_csv(f, header=False, index=False)
+    back = src_files.read_labelled_csv(spark, f, multiline=True)
+    assert {r.id: r.tweet for r in back.collect()} == dict(enumerate(t.replace("\r\n", "\n") for t in texts)) or {
+        r.id: r.tweet for r in back.collect()} == dict(enumerate(texts))
+
+
+def test_missing_nested_fields_are_dead_letters(spark):
+    rows = [('{"id_str":"1","text":"a","user":{}}',), ('{"id_str":"1","text":"a","user":{"verified":true,"followers_count":1,"friends_count":2}}',)]
+    got = [r.reason for r in J.route(spark.createDataFrame(rows, "value STRING"), "value").collect()]
+    assert got == ["missing_field", "ok"]
+
+
+def test_insert_if_absent_keeps_the_smallest_of_equal_keys(spark):
+    path = scratch_path(spark, "docs-ties")
+    keyed.insert_if_absent(spark, spark.createDataFrame([("k", "b"), ("k", "a")], "_id STRING, text STRING"), path)
+    assert [r.text for r in spark.read.parquet(path).collect()] == ["a"]
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    import pytest as _pytest
+
+    from microblog import config
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with _pytest.raises(RuntimeError):
+        config.ensure_checkpoint_dir(Session())

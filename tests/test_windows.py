@@ -84,3 +84,9 @@ def test_top_per_window_limits_each_window(spark):
     top = windows.top_per_window(windows.dense_sliding_count(df, "token", 3600, 1800), "token", k=2)
     per = top.groupBy("window_end").count().collect()
     assert per and all(r["count"] <= 2 for r in per)
+
+
+def test_prefix_sum_counts_null_keys_and_leaves_out_null_times(spark):
+    df = spark.createDataFrame([(None, 1, 2), (None, 5, 3), ("a", 1, 4), ("a", None, 9)], "k STRING, t BIGINT, v BIGINT")
+    got = sorted((r.k or "", r.t, r.s) for r in indexing.prefix_sum(df, ["k"], "t", "v", "s", block=2).collect())
+    assert got == [("", 1, 2), ("", 5, 5), ("a", 1, 4)]
