@@ -16,8 +16,8 @@ read all labelled texts to learn from.
 Definitions: null is the empty text; its features are zeros. Rows with a null
 id are scored, not learnt from, as are texts without a label or with a null
 one; a text with several labels counts as its largest. Without labels of both
-kinds every score is 0.5 (kept). Ties in the quantile: texts at the threshold
-are kept. Other columns are not read.
+kinds every score is 0.5 (kept). Ties at the quantile lie below
+the threshold, unless no score is higher; then all are kept. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -133,4 +133,6 @@ def scored(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "qual
     seen = rank.join(known.select("id", "y").distinct(), "id")
     share = seen.agg(F.avg(1 - F.col("y"))).first()[0]
     bar = seen.agg(F.percentile_approx("s", F.lit(float(share)), 100_000)).first()[0]
+    above = seen.where(F.col("s") > bar).agg(F.min("s")).first()[0]
+    bar = bar if above is None else (bar + above) / 2  # what lies at the quantile is below the threshold
     return rank.select(F.col("id").alias(key), (1 / (1 + F.exp(-(F.col("s") - float(bar) + log(CUT / (1 - CUT)))))).alias("score"))

@@ -44,6 +44,7 @@ WORD_ROWS = 1 << 15
 CHAR_ROWS = 1 << 15
 GRAMS = (3, 6)  # lengths of character n-grams, word ends included
 EPOCHS = 5
+LEAST_STEPS = 150
 _CHUNK = 4_096
 _MARKS = ".,;:!?\"'()[]"
 
@@ -225,10 +226,11 @@ def train(texts: Sequence[tuple[int, list[list[str]]]], weights: tuple[float, fl
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     s = {k: np.zeros_like(v) for k, v in net.p.items()}
     step = 0
+    epochs = max(epochs, -(-LEAST_STEPS // max(1, -(-int(inside.sum()) // batch))))  # few windows are seen more often
     every = lambda: net.logits(net.inputs(*known), wins)
     for epoch in range(epochs):
         use = inside
-        if epoch >= 2:  # a toxic text's windows that look clean beside its worst one prove nothing
+        if epoch >= epochs * 0.4:  # a toxic text's windows that look clean beside its worst one prove nothing
             now = every()
             worst = np.maximum.reduceat(now, starts)
             use = inside & ((label == 0) | (now >= np.minimum(worst[owner], 1.0)))
@@ -242,7 +244,7 @@ def train(texts: Sequence[tuple[int, list[list[str]]]], weights: tuple[float, fl
                     g[~own_row] = 0
                 m[k] += 0.1 * (g - m[k])
                 s[k] += 0.001 * (g * g - s[k])
-                net.p[k] -= (rate * (0.3 if epoch >= epochs - 2 else 1) * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(s[k] / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
+                net.p[k] -= (rate * (0.3 if epoch >= epochs * 0.6 else 1) * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(s[k] / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
                 if k in ("word", "char"):
                     net.p[k] *= 1 - DECAY
     worst = np.maximum.reduceat(every(), starts)[aside]
