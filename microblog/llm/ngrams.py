@@ -41,7 +41,7 @@ from .common import blocks, column, materialise, texts_of
 
 MU = 60.0
 _END = b"\n"  # no word holds a line end
-_BLOCK = 16 << 20
+_BLOCK = 8 << 20
 
 
 class _Numbers(dict):
