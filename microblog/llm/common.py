@@ -66,6 +66,12 @@ def blocks(batches: Iterable[pa.RecordBatch], text: str, limit: int = BLOCK_BYTE
             start = stop
 
 
+def spread(work: DataFrame, *keys: str) -> DataFrame:
+    """Small rows that stand for much work, dealt to the session's number of
+    shuffle partitions; a number given is one that Spark does not lower."""
+    return work.repartition(int(work.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

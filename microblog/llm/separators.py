@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import scratch_path
-from .common import blocks, column, materialise, texts_of
+from .common import blocks, column, materialise, spread, texts_of
 from .files import new_file, open_store
 from .tokens import encoder, read_tokenizer
 
@@ -79,8 +79,7 @@ def scan(files: DataFrame, separator: int, width: int = 2, block_ids: int = BLOC
     step = width * block_ids
     todo = (files.where("file is not null and bytes > 0").select("file", "bytes").distinct()
             .withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(bytes - 1) div {step}")))))
-    cores = files.sparkSession.sparkContext.defaultParallelism
-    todo = todo.repartition(F.col("file"), F.col("block")) if cores > 1 else todo
+    todo = spread(todo, "file", "block")
     schema = pa.schema([("file", pa.string()), ("block", pa.int64()), ("n", pa.int64()), ("last", pa.int64()), ("size", pa.int64()), ("final", pa.bool_()), ("ends", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import scratch_path
-from .common import blocks, column, materialise
+from .common import blocks, column, materialise, spread
 from .files import new_file, open_store
 
 MIN_REVISIT_BYTES = 1000
@@ -216,5 +216,5 @@ def read(archives: DataFrame, with_payload: bool = True) -> DataFrame:
             if rows:
                 yield batch(rows)
 
-    todo = archives.select("archive").repartition(F.col("archive"))
+    todo = spread(archives.select("archive"), "archive")
     return todo.mapInArrow(run, ddl)
