@@ -14,7 +14,7 @@
 3. The union sketch (the K smallest values of both sketches) estimates the
    similarity; pairs far below the threshold go.
 4. The others are confirmed on the full sets, which are computed once for the
-   groups concerned. Each group's best pair comes first, then whatever still
+   groups concerned. One pair of each group comes first, then whatever still
    lies between two components: a pair inside one cannot change the result.
 5. Components by minimum labels and pointer jumping.
 
@@ -98,18 +98,22 @@ def sketches(docs: DataFrame, words: int = WORDS, k: int = K, key: str = "doc_id
     return docs.select(key, text).mapInArrow(run, f"id bigint, n bigint, print binary, {last} array<bigint>")
 
 
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, comp): the smallest node that each node of the links (a, b)
-    reaches. Each round takes the smallest label among the neighbours and then
-    that label's own label; every round is a written table."""
-    ends = edges.select("a", "b").union(edges.select("b", "a"))
-    both = materialise(ends.union(ends.select("a", F.col("a").alias("b"))).distinct(), name)  # every node beside itself
-    labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("comp")), name)
+    reaches. In a round a node takes the smallest label among its neighbours,
+    passes it to the node that its old label names, and then follows its new
+    label one step on; every round is a written table."""
+    ends = edges.select("a", "b").where("a <> b")
+    both = materialise(ends.union(ends.select("b", "a")).distinct(), "edges")
+    labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("comp")), "labels")
     while True:
         seen = labels.select(F.col("node").alias("b"), F.col("comp").alias("seen"))
-        lower = both.join(seen, "b").groupBy(F.col("a").alias("node")).agg(F.min("seen").alias("comp"), F.min(F.when(F.col("a") == F.col("b"), F.col("seen"))).alias("old"))
+        near = both.join(seen, "b").groupBy(F.col("a").alias("node")).agg(F.min("seen").alias("low"))
+        own = labels.join(near, "node").select("node", "comp", "low")
+        told = own.where("low < comp").select(F.col("comp").alias("node"), F.lit(None).cast("long").alias("comp"), "low")
+        lower = own.union(told).groupBy("node").agg(F.max("comp").alias("old"), F.min("low").alias("low")).select("node", "old", F.least("old", "low").alias("comp"))
         jump = labels.select(F.col("node").alias("comp"), F.col("comp").alias("far"))
-        new = materialise(lower.join(jump, "comp").select("node", "old", F.least("comp", "far").alias("comp")), name)
+        new = materialise(lower.join(jump, "comp").select("node", "old", F.least("comp", "far").alias("comp")), "round")
         labels = new.select("node", "comp")
         if _empty(new.where("old <> comp")):
             return labels
@@ -141,8 +145,10 @@ class _Links:
 
     def add(self, edges: DataFrame) -> bool:
         """Links (a, b) join components; whether any did."""
-        both = self.labelled(self.labelled(edges.select("a", "b"), "a", "ca"), "b", "cb")
-        new = materialise(both.where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "links")
+        new = edges.select("a", "b")
+        if self.labels is not None:
+            both = self.labelled(self.labelled(new, "a", "ca"), "b", "cb")
+            new = materialise(both.where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "links")
         if _empty(new):
             return False
         joined = components(new)  # of the components before
@@ -197,12 +203,17 @@ class _Links:
 
     def test(self, pairs: DataFrame, best_first: bool) -> bool:
         """Confirm likely pairs; whether there was a link. ``best_first``: each
-        group's best pair, then only what still lies between two components."""
+        group with one partner, then only what still lies between two
+        components. The partner is, among those estimated to be similar enough
+        if there are any, the one with most pairs: copies of a text choose the
+        same one, so components are stars rather than long chains."""
         self.need(pairs)
         if not best_first:
             return self.add(self.confirmed(pairs))
         either = pairs.select("est", "a", "b").unionByName(pairs.select("est", F.col("a").alias("b"), F.col("b").alias("a")))
-        best = either.groupBy("a").agg(F.max(F.struct("est", "b")).alias("best")).select(*_ordered("a", "best.b")).distinct()
+        known = either.join(either.groupBy("b").agg(F.count("*").alias("known")), "b")
+        choice = F.struct(F.col("est") >= self.percent / 100, "known", F.col("b"))
+        best = materialise(known.groupBy("a").agg(F.max(choice).alias("best")).select(*_ordered("a", "best.b")).distinct(), "best")
         some = self.add(self.confirmed(best))
         rest = materialise(self.apart(pairs.select("a", "b").join(best, ["a", "b"], "left_anti")), "pairs")
         return (not _empty(rest) and self.add(self.confirmed(rest))) or some
@@ -221,9 +232,11 @@ def classes(docs: DataFrame, words: int = WORDS, percent: int = 75, k: int = K,
                          .withColumn("g", F.monotonically_increasing_id()), "groups")
     links = _Links(docs, groups, words, percent, k, key, text)
 
-    members = some.select("id", "print").join(groups.select("print", "g"), "print").select("id", "g")
-    twice = members.groupBy("id").agg(F.min("g").alias("a"), F.max("g").alias("z")).where("a <> z").select("id", "a")
-    links.add(members.join(twice, "id").where("g <> a").select("a", F.col("g").alias("b")))
+    twice = materialise(some.groupBy("id").agg(F.min("print").alias("p"), F.max("print").alias("q")).where("p <> q").select("id"), "twice")
+    if not _empty(twice):  # ids with several texts
+        members = some.select("id", "print").join(twice, "id").join(groups.select("print", "g"), "print").select("id", "g")
+        first = members.groupBy("id").agg(F.min("g").alias("a"))
+        links.add(materialise(members.join(first, "id").where("g <> a").select("a", F.col("g").alias("b")), "links"))
 
     held = groups.select("g", "n", F.explode(F.slice("items", 1, lists)).alias("v"))
     sizes = held.groupBy("v").agg(F.count("*").alias("size")).where("size > 1")
