@@ -4,19 +4,24 @@
    ``K`` smallest. Texts with equal sets form a group (one partial aggregate, so
    thousands of copies cost one row), which alone goes on.
 2. Inverted lists of the ``LISTS`` smallest retained values give candidates.
-   Lists of at most ``SHORT`` groups give all their pairs. Longer ones are not
-   paired out: in rounds, every list names a hub, and each of its groups in
-   another component is a candidate with the hub, so a list costs one pair per
-   member. Even rounds draw the hub from the groups that stand in most long lists
-   (a text that others were copied from is in all of its copies' lists), odd
-   rounds from all. A round looks only between components; after ``LEAST_ROUNDS``
-   rounds, one that finds no new link is the last.
+   Lists of at most ``SHORT`` groups give all their pairs. Longer ones first
+   name a hub, and each group is a candidate with the hub of its list: the one
+   that stands in most long lists (a text that others were copied from is in
+   all of its copies' lists). That joins large groups of copies at one pair per
+   member, but settles only the lists that then lie in one component.
 3. The union sketch (the K smallest values of both sketches) estimates the
    similarity; pairs far below the threshold go.
 4. The others are confirmed on the full sets, which are computed once for the
    groups concerned. One pair of each group comes first, then whatever still
    lies between two components: a pair inside one cannot change the result.
-5. Components by minimum labels and pointer jumping.
+5. Groups of long lists that still lie in several components are searched
+   exactly, on their full sets: two sets above the threshold share one of the
+   n - ceil(0.75 n) + 1 values of either that fewest of these groups hold (prefix
+   filter). Lists of such values are short but for texts that consist of shared
+   passages; long ones name hubs as above, in rounds until one links nothing (at
+   most ``ROUNDS``), then all pairs that lie between components are paired out.
+   No pair is left out; positions in the two orders bound what it can share.
+6. Components by minimum labels and pointer jumping.
 
 Two texts above the threshold share each of the smallest values of their union
 with probability >= 0.75, so a pair is in no common list with probability
@@ -46,7 +51,8 @@ K = 32
 LISTS = 12
 SHORT = 24
 MARGIN = 0.35  # five standard deviations of the estimate at 0.75
-LEAST_ROUNDS, ROUNDS = 2, 12
+ROUNDS = 12  # of hubs in the exact search, before the rest is paired out
+BLOCK = 256  # members of a long list that one task meets with the others
 
 
 class _Hashes(dict):
@@ -178,10 +184,9 @@ class _Links:
         margin = F.when(whole, F.lit(1e-6)).otherwise(F.lit(MARGIN))
         return materialise(both.where(F.col("est") >= self.percent / 100 - margin).select("a", "b", "est"), "likely")
 
-    def need(self, pairs: DataFrame) -> None:
-        """Full sets of all groups in ``pairs``, each computed once, from the
+    def need(self, nodes: DataFrame) -> None:
+        """Full sets of the groups ``nodes`` (g), each computed once, from the
         text of one document of the group."""
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("g")).distinct()
         if self.sets is not None:
             nodes = materialise(nodes.join(self.sets.select("g"), "g", "left_anti"), "nodes")
             if _empty(nodes):
@@ -201,13 +206,29 @@ class _Links:
         united = F.size("xa") + F.size("xb") - F.col("met")
         return materialise(met.where(F.col("met") * 100 >= united * self.percent).select("a", "b"), "links")
 
+    def prefixes(self, nodes: DataFrame) -> DataFrame:
+        """(v, g, n, at, size): of every group in ``nodes`` (g) the values that
+        decide, rarest first; ``at``: place in that order, ``size``: groups with
+        the value among theirs. Values that one group alone holds come first
+        and meet nobody, so they are counted only."""
+        self.need(nodes)
+        own = self.sets.join(nodes, "g", "left_semi")
+        values = own.select("g", F.explode("items").alias("v"))
+        common = materialise(values.groupBy("v").agg(F.count("*").alias("holders")).where("holders > 1"), "common")
+        held = values.join(common, "v").groupBy("g").agg(F.sort_array(F.collect_list(F.struct("holders", "v"))).alias("held"))
+        held = held.join(own.select("g", F.size("items").alias("n")), "g").withColumn("alone", F.col("n") - F.size("held"))
+        room = F.expr(f"greatest(n - (n * {self.percent} + 99) div 100 + 1 - alone, 0)").cast("int")
+        rows = held.withColumn("held", F.slice("held", F.lit(1), room)).select("g", "n", "alone", F.posexplode("held").alias("i", "x"))
+        rows = materialise(rows.select(F.col("x.v").alias("v"), "g", "n", (F.col("alone") + F.col("i")).alias("at")), "prefixes")
+        return rows.join(rows.groupBy("v").agg(F.count("*").alias("size")).where("size > 1"), "v")
+
     def test(self, pairs: DataFrame, best_first: bool) -> bool:
         """Confirm likely pairs; whether there was a link. ``best_first``: each
         group with one partner, then only what still lies between two
         components. The partner is, among those estimated to be similar enough
         if there are any, the one with most pairs: copies of a text choose the
         same one, so components are stars rather than long chains."""
-        self.need(pairs)
+        self.need(pairs.select(F.explode(F.array("a", "b")).alias("g")).distinct())
         if not best_first:
             return self.add(self.confirmed(pairs))
         either = pairs.select("est", "a", "b").unionByName(pairs.select("est", F.col("a").alias("b"), F.col("b").alias("a")))
@@ -243,28 +264,61 @@ def classes(docs: DataFrame, words: int = WORDS, percent: int = 75, k: int = K,
     held = materialise(held.join(sizes, "v"), "lists")
     fits = lambda n, m: F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
+    def spans(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The rows with their components, and the lists in several of them."""
+        now = links.labelled(rows, "g", "comp")
+        return now, now.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("v")
+
     def hubs(rows: DataFrame, r: int) -> DataFrame:
-        """Each list's members with its hub, if that is in another component."""
+        """Each list's members with its hub, if that is in another component.
+        Even rounds draw it from those in most lists, odd ones from all."""
         now = links.labelled(rows, "g", "comp")
         draw = F.xxhash64("g", "v", F.lit(r)) if r % 2 else F.struct(-F.col("central"), F.xxhash64("g", F.lit(r)))
         hub = now.groupBy("v").agg(F.min_by(F.struct("g", "comp", "n"), draw).alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
         met = now.join(hub.where("lo <> hi").select("v", "hub"), "v").where("comp <> hub.comp").where(fits("n", "hub.n"))
         return met.select(*_ordered("g", "hub.g"))
 
+    def centred(rows: DataFrame, name: str) -> DataFrame:
+        return materialise(rows.join(rows.groupBy("g").agg(F.count("*").alias("central")), "g"), name)
+
+    def outer(rows: DataFrame) -> DataFrame:
+        """All pairs of a list that lie between two components: those outside
+        the component that most of its members are in, with all others. What
+        follows the first shared value must suffice for the threshold."""
+        now = links.labelled(rows, "g", "comp")
+        parts = now.groupBy("v", "comp").agg(F.count("*").alias("own"))
+        most = parts.groupBy("v").agg(F.max(F.struct("own", "comp")).alias("most"), F.count("*").alias("parts"), F.sum("own").alias("size")).where("parts > 1")
+        now = now.join(most.select("v", F.col("most.comp").alias("most"), F.ceil(F.col("size") / BLOCK).cast("int").alias("parts")), "v")
+        now = materialise(now.select("v", "g", "n", "at", "comp", "most", "parts"), "apart")
+        some = now.where("comp <> most").withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).drop("most", "parts")
+        other = now.select("v", F.expr("cast(pmod(xxhash64(g), parts) as int)").alias("part"), F.col("g").alias("h"), F.col("n").alias("m"), F.col("at").alias("to"), F.col("comp").alias("beside"), F.col("comp") == F.col("most"))
+        other = other.toDF("v", "part", "h", "m", "to", "beside", "inner")
+        met = some.join(other, ["v", "part"]).where("comp <> beside and (inner or g < h)").where(fits("n", "m"))
+        return met.where(F.least(F.col("n") - F.col("at"), F.col("m") - F.col("to")) * (100 + percent) >= (F.col("n") + F.col("m")) * percent).select(*_ordered("g", "h"))
+
     one = held.where(F.col("size") <= short).select("v", "g", "n")
     near = one.join(one.select("v", F.col("g").alias("h"), F.col("n").alias("m")), "v").where("g < h").where(fits("n", "m"))
-    long = held.where(F.col("size") > short).select("v", "g", "n")
-    long = materialise(long.join(long.groupBy("g").agg(F.count("*").alias("central")), "g"), "long-lists")
+    long = centred(held.where(F.col("size") > short).select("v", "g", "n"), "long-lists")
     first = near.select(F.col("g").alias("a"), F.col("h").alias("b")).union(hubs(long, 0)).distinct()
     pairs = links.likely(first)
     if not _empty(pairs):
         links.test(pairs, best_first=True)
     tested = pairs.select("a", "b")
-    for r in range(1, ROUNDS if not _empty(long) else 0):
-        pairs = links.likely(hubs(long, r).distinct().join(tested, ["a", "b"], "left_anti"))
-        if (_empty(pairs) or not links.test(pairs, best_first=False)) and r + 1 >= LEAST_ROUNDS:
-            break
-        tested = tested.union(pairs.select("a", "b"))
+
+    now, open_lists = spans(long)
+    nodes = materialise(now.join(open_lists, "v", "left_semi").select("g").distinct(), "open")
+    if not _empty(nodes):  # the exact search
+        rare = materialise(links.prefixes(nodes), "rare")
+        long = centred(rare.where(F.col("size") > short).drop("size"), "long-rare")
+        found = outer(rare.where(F.col("size") <= short)).union(hubs(long, 1))
+        for r in range(1, ROUNDS + 1):
+            pairs = links.likely((found if r == 1 else hubs(long, r)).distinct().join(tested, ["a", "b"], "left_anti"))
+            tested = tested.union(pairs.select("a", "b"))
+            if _empty(pairs) or not links.test(pairs, best_first=r == 1):
+                break
+        pairs = links.likely(outer(long).distinct().join(tested, ["a", "b"], "left_anti"))
+        if not _empty(pairs):
+            links.test(pairs, best_first=True)
 
     # components of groups, by the smallest id of their documents
     labels = links.labelled(groups.select("g", "rep", "print"), "g", "comp")

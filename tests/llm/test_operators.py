@@ -4,6 +4,7 @@ nulls, empty and long texts, repeated rows, empty tables and extra columns."""
 import collections
 import hashlib
 import io
+import itertools
 import json
 import math
 import os
@@ -328,6 +329,25 @@ def test_near_duplicates_equal_brute_force(spark, none):
     assert neardup.near_duplicates(none).count() == 0
 
 
+def test_near_copies_that_meet_in_long_lists_only(spark):
+    prepare(spark)
+    passage, rows = sentence(15, 169), []  # 165 of each text's 200 shingles; 25 pairs share long lists only
+    for i in range(100):
+        own = sentence(1000 + i, 35)
+        rows += [doc(2 * i, f"{passage} {own}"), doc(2 * i + 1, f"{passage} {own} end")]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, DOCS)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {r[0]: r[0] // 2 * 2 for r in rows}
+
+
+def test_near_copies_of_shared_passages_only(spark):
+    prepare(spark)
+    parts = [sentence(20 + i, 24) for i in range(9)]  # no text has a shingle of its own inside a part
+    rows = [doc(i, " ".join(parts[j] for j in pick)) for i, pick in enumerate(itertools.combinations(range(9), 4))]
+    rows += [doc(1000 + i, t + " end") for i, (_, t, *_) in enumerate(list(rows))]
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in neardup.near_duplicates(spark.createDataFrame(rows, DOCS), lists=2, short=4).collect())
+    assert got == near_by_force([r[:2] for r in rows])
+
+
 def test_components_of_a_long_chain(spark):
     prepare(spark)
     got = neardup.components(spark.range(30).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")))
