@@ -7,10 +7,13 @@ recurrent units; attention pools the states, a logistic unit scores the window.
 A text's score is that of its worst window; every window is scored. Training
 is numpy back-propagation with Adam: first all windows carry their text's label,
 then a toxic text vouches only for its worst windows. Last the bias is set so
-that 0.5 best separates a quarter of the sample's texts that trained nothing.
+that 0.5 best separates a quarter of the sample's texts that trained nothing, by
+the worst of all their windows.
 
 Training reads at most ``SAMPLE`` labelled texts of either label (those with the
-smallest hash of their id) and ``PER_TEXT`` evenly spread windows of each.
+smallest hash of their id), in ``PHASES``: ``PER_TEXT`` evenly spread windows of
+each, others in every phase, and in the later ones beside these the ``PER_TEXT``
+worst of all its windows, which Spark scores with the network so far.
 
 Definitions: null and empty texts have no window and score 0; a text shorter
 than a window is one window of its own length. Rows with a null id are scored,
@@ -26,10 +29,11 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, column, texts_of
+from .common import blocks, column, materialise, spread, texts_of
 
 CUT = 0.5
 WINDOW = 64
@@ -45,6 +49,8 @@ CHAR_ROWS = 1 << 15
 GRAMS = (3, 6)  # lengths of character n-grams, word ends included
 EPOCHS = 5
 LEAST_STEPS = 150
+PHASES = 5  # of equal numbers of epochs
+EVEN = 0.4  # share of the epochs in which all windows carry the label
 _CHUNK = 4_096
 _MARKS = ".,;:!?\"'()[]"
 
@@ -208,47 +214,53 @@ class Network:
         return g
 
 
-def train(texts: Sequence[tuple[int, list[list[str]]]], weights: tuple[float, float] = (1.0, 1.0), epochs: int = EPOCHS, batch: int = 256, rate: float = 0.01, seed: int = 7) -> Network:
-    """``texts``: label and windows (as words) of each; ``weights``: how many
-    texts one of label 0 and one of label 1 stand for when the bias is set."""
-    words, net, rng = Words(), Network(seed), np.random.default_rng(seed)
-    wins = np.array([[words[w] for w in win] + [-1] * (WINDOW - len(win)) for _, ws in texts for win in ws])
-    label = np.array([y for y, ws in texts for _ in ws], dtype=np.float32)
-    owner = np.array([i for i, (_, ws) in enumerate(texts) for _ in ws])
-    starts = np.flatnonzero(np.diff(owner, prepend=-1))
-    y = label[starts]
-    aside = rng.permutation(len(texts)) % 4 == 0  # sets the bias, trains nothing
-    inside = ~aside[owner]
-    known = words.rows()
-    rows = np.append(known[0], -1)[wins]
-    seen = np.unique(np.stack([np.repeat(owner[inside], WINDOW), rows[inside].ravel()]), axis=1)
-    own_row = np.bincount(seen[1][seen[1] >= 0], minlength=WORD_ROWS) >= MIN_TEXTS
-    m = {k: np.zeros_like(v) for k, v in net.p.items()}
-    s = {k: np.zeros_like(v) for k, v in net.p.items()}
-    step = 0
-    epochs = max(epochs, -(-LEAST_STEPS // max(1, -(-int(inside.sum()) // batch))))  # few windows are seen more often
-    every = lambda: net.logits(net.inputs(*known), wins)
-    for epoch in range(epochs):
-        use = inside
-        if epoch >= epochs * 0.4:  # a toxic text's windows that look clean beside its worst one prove nothing
-            now = every()
-            worst = np.maximum.reduceat(now, starts)
-            use = inside & ((label == 0) | (now >= np.minimum(worst[owner], 1.0)))
-        at = rng.permutation(np.flatnonzero(use))
-        balance = np.where(label == 1, (label[at] == 0).sum() / max(1, (label[at] == 1).sum()), 1.0).clip(0.2, 4)
-        for i in range(0, len(at), batch):
-            own = at[i:i + batch]
-            step += 1
-            for k, g in net.gradients(known, wins[own], label[own], balance[own]).items():
-                if k == "word":
-                    g[~own_row] = 0
-                m[k] += 0.1 * (g - m[k])
-                s[k] += 0.001 * (g * g - s[k])
-                net.p[k] -= (rate * (0.3 if epoch >= epochs * 0.6 else 1) * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(s[k] / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
-                if k in ("word", "char"):
-                    net.p[k] *= 1 - DECAY
-    worst = np.maximum.reduceat(every(), starts)[aside]
-    y = y[aside]
+class Trainer:
+    """Adam on a network; ``fit`` is called with the windows of each phase."""
+
+    def __init__(self, seed: int = 7):
+        self.net, self.rng, self.step = Network(seed), np.random.default_rng(seed), 0
+        self.m = {k: np.zeros_like(v) for k, v in self.net.p.items()}
+        self.s = {k: np.zeros_like(v) for k, v in self.net.p.items()}
+
+    def fit(self, texts: Sequence[tuple[int, list[list[str]]]], first: float, last: float, epochs: int = EPOCHS, batch: int = 256, rate: float = 0.01) -> None:
+        """The epochs from share ``first`` to ``last`` of all; ``texts``: label
+        and windows (as words) of each."""
+        words, net, m, s = Words(), self.net, self.m, self.s
+        wins = np.array([[words[w] for w in win] + [-1] * (WINDOW - len(win)) for _, ws in texts for win in ws])
+        label = np.array([y for y, ws in texts for _ in ws], dtype=np.float32)
+        owner = np.array([i for i, (_, ws) in enumerate(texts) for _ in ws])
+        starts = np.flatnonzero(np.diff(owner, prepend=-1))
+        known = words.rows()
+        rows = np.append(known[0], -1)[wins]
+        seen = np.unique(np.stack([np.repeat(owner, WINDOW), rows.ravel()]), axis=1)
+        own_row = np.bincount(seen[1][seen[1] >= 0], minlength=WORD_ROWS) >= MIN_TEXTS
+        epochs = max(epochs, -(-LEAST_STEPS // max(1, -(-len(wins) // batch))))  # few windows are seen more often
+        for epoch in range(epochs):
+            if not first * epochs <= epoch < last * epochs:
+                continue
+            use = np.ones(len(wins), dtype=bool)
+            if epoch >= epochs * EVEN:  # a toxic text's windows that look clean beside its worst one prove nothing
+                now = net.logits(net.inputs(*known), wins)
+                worst = np.maximum.reduceat(now, starts)
+                use = (label == 0) | (now >= np.minimum(worst[owner], 1.0))
+            at = self.rng.permutation(np.flatnonzero(use))
+            balance = np.where(label == 1, (label[at] == 0).sum() / max(1, (label[at] == 1).sum()), 1.0).clip(0.2, 4)
+            for i in range(0, len(at), batch):
+                own = at[i:i + batch]
+                self.step += 1
+                for k, g in net.gradients(known, wins[own], label[own], balance[own]).items():
+                    if k == "word":
+                        g[~own_row] = 0
+                    m[k] += 0.1 * (g - m[k])
+                    s[k] += 0.001 * (g * g - s[k])
+                    net.p[k] -= (rate * (0.3 if epoch >= epochs * 0.6 else 1) * (m[k] / (1 - 0.9 ** self.step)) / (np.sqrt(s[k] / (1 - 0.999 ** self.step)) + 1e-8)).astype(np.float32)
+                    if k in ("word", "char"):
+                        net.p[k] *= 1 - DECAY
+
+
+def set_bias(net: Network, worst: np.ndarray, y: np.ndarray, weights: tuple[float, float]) -> None:
+    """0.5 best separates texts with these worst logits and labels; ``weights``:
+    how many texts one of label 0 and one of label 1 stand for."""
     if 0 < y.sum() < len(y):
         order = np.argsort(worst)
         wrong = weights[0] * (y == 0).sum() + np.concatenate([[0], np.cumsum(np.where(y[order] == 1, weights[1], -weights[0]))])  # texts below the cut count as clean
@@ -256,53 +268,95 @@ def train(texts: Sequence[tuple[int, list[list[str]]]], weights: tuple[float, fl
         best = np.flatnonzero(wrong <= wrong.min() + 1e-9)
         mid = int(best[len(best) // 2])
         net.p["b"] -= (ends[mid] + ends[mid + 1]) / 2
-    return net
+
+
+def _logits(net: Network, texts: list[list[str]]) -> list[np.ndarray]:
+    """The logits of all windows of each text."""
+    words = Words()
+    own = [windows(np.fromiter(map(words.__getitem__, t), dtype=np.int32, count=len(t))) for t in texts]
+    found = net.logits(net.inputs(*words.rows()), np.concatenate(own)).astype(np.float64)
+    return np.split(found, np.cumsum([len(w) for w in own])[:-1])
 
 
 def _sampled(docs: DataFrame, labels: DataFrame, learn: Column, label: str, key: str, text: str, sample: int):
-    """Labels and windows of the texts to learn from, whose number and size the
-    parameters bound, and how many labelled texts there are by label."""
+    """The texts to learn from (y, aside, text), whose number the parameter
+    bounds, and how many labelled texts there are by label."""
     known = labels.where(learn & F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).cast("int").alias("y"))
     known = known.join(docs.select(key).distinct(), key, "left_semi")
     there = {r.y: r.n for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     few = known.where("y = 1").orderBy(F.xxhash64(key), key).limit(sample).union(known.where("y = 0").orderBy(F.xxhash64(key), key).limit(sample))
-    rows = docs.where(F.col(key).isNotNull()).select(key, text).join(F.broadcast(few), key).select("y", text)
+    few = few.withColumn("turn", F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64(key), key)))
+    rows = docs.where(F.col(key).isNotNull()).select(key, text).join(F.broadcast(few), key)
+    aside = F.col("turn") % 4 == 0  # of either label; sets the bias, trains nothing
+    return materialise(rows.select("y", aside.alias("aside"), F.col(text).alias("text")), "sample"), there
+
+
+def _picked(rows: DataFrame, net: Broadcast | None, shift: float = 0.0) -> list[tuple[int, list[list[str]]]]:
+    """Label and windows of each text: some evenly spread, ``shift`` steps on,
+    and, given a network, the worst of all."""
     schema = pa.schema([("y", pa.int32()), ("windows", pa.list_(pa.list_(pa.string())))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in blocks(batches, text):
-            out = []
-            for t in texts_of(b, text):
-                own = t.lower().split()
+        for b in blocks(batches, "text"):
+            out, texts = [], [t.lower().split() for t in texts_of(b)]
+            logits = _logits(net.value, texts) if net else [np.empty(0)] * len(texts)
+            for own, z in zip(texts, logits):
                 starts = window_starts(len(own))
-                pick = sorted({round(i) for i in np.linspace(0, len(starts) - 1, min(PER_TEXT, len(starts)))}) if starts else []
-                out.append([[w[:64] for w in own[starts[i]:starts[i] + WINDOW]] for i in pick])
+                even = min(PER_TEXT, len(starts))
+                pick = {int((i + shift) * len(starts) / even) for i in range(even)}
+                pick |= set(np.argsort(-z, kind="stable")[:PER_TEXT].tolist())
+                out.append([[w[:64] for w in own[starts[i]:starts[i] + WINDOW]] for i in sorted(pick)])
             yield pa.RecordBatch.from_arrays([column(b, "y").cast(pa.int32()), pa.array(out, pa.list_(pa.list_(pa.string())))], schema=schema)
 
     got = rows.mapInArrow(run, "y int, windows array<array<string>>").collect()
-    return sorted((r.y, r.windows) for r in got if r.windows), there
+    return sorted((r.y, r.windows) for r in got if r.windows)
+
+
+def _worst(rows: DataFrame, net: Broadcast) -> list[tuple[int, float]]:
+    """Label and highest logit of each text, over all its windows."""
+    schema = pa.schema([("y", pa.int32()), ("worst", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in blocks(batches, "text"):
+            worst = [z.max() if len(z) else None for z in _logits(net.value, [t.lower().split() for t in texts_of(b)])]
+            yield pa.RecordBatch.from_arrays([column(b, "y").cast(pa.int32()), pa.array(worst, pa.float64())], schema=schema)
+
+    return sorted((r.y, r.worst) for r in rows.mapInArrow(run, "y int, worst double").collect() if r.worst is not None)
+
+
+def learnt(rows: DataFrame, there: dict[int, int]) -> Network | None:
+    """The network trained on a sample; none without texts of both labels."""
+    context = rows.sparkSession.sparkContext
+    inside, aside = spread(rows.where("not aside")), spread(rows.where("aside"))
+    some = _picked(inside, None)
+    if len({y for y, _ in some}) < 2:
+        return None
+    trainer = Trainer()
+    for phase in range(PHASES):
+        if phase:
+            shift = phase / PHASES
+            some = _picked(inside, None if shift < EVEN else context.broadcast(trainer.net), shift)
+        trainer.fit(some, phase / PHASES, (phase + 1) / PHASES)
+    worst = _worst(aside, context.broadcast(trainer.net))
+    taken = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    weights = tuple(there[y] / taken[y] for y in (0, 1))
+    set_bias(trainer.net, np.array([z for _, z in worst]), np.array([y for y, _ in worst]), weights)
+    return trainer.net
 
 
 def scored(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> DataFrame:
     """(key, score): the score of the worst window, toxic from 0.5 on.
     ``learn``: which ids of ``labels`` may be learnt from."""
-    taken, there = _sampled(docs, labels, learn, label, key, text, sample)
-    if len({y for y, _ in taken}) < 2:
+    found = learnt(*_sampled(docs, labels, learn, label, key, text, sample))
+    if found is None:
         return docs.select(F.col(key).cast("bigint").alias(key), F.lit(0.0).alias("score"))
-    weights = tuple(there[y] / sum(own == y for own, _ in taken) for y in (0, 1))
-    net = docs.sparkSession.sparkContext.broadcast(train(taken, weights))  # its size is that of the parameters
+    net = docs.sparkSession.sparkContext.broadcast(found)  # its size is that of the parameters
     schema = pa.schema([(key, pa.int64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, text):
-            words = Words()
-            own = [windows(np.fromiter(map(words.__getitem__, t), dtype=np.int32, count=len(t))) for t in (t.lower().split() for t in texts_of(b, text))]
-            many = np.array([len(w) for w in own])
-            logit = net.value.logits(net.value.inputs(*words.rows()), np.concatenate(own))
-            score = np.zeros(len(own))
-            some = many > 0
-            if some.any():
-                score[some] = _sigmoid(np.maximum.reduceat(logit.astype(np.float64), (np.cumsum(many) - many)[some]))
+            logits = _logits(net.value, [t.lower().split() for t in texts_of(b, text)])
+            score = np.array([_sigmoid(z.max()) if len(z) else 0.0 for z in logits])
             yield pa.RecordBatch.from_arrays([column(b, key).cast(pa.int64()), pa.array(score, pa.float64())], schema=schema)
 
     return docs.select(key, text).mapInArrow(run, f"`{key}` bigint, score double")

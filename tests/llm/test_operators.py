@@ -215,6 +215,19 @@ def test_toxicity_separates_held_out_texts(spark, none):
     assert {r.score for r in toxicity.scored(frame, labels.where("toxic = 1"), learn()).collect()} == {0.0}
 
 
+def test_toxicity_reads_all_windows_of_long_texts(spark):
+    prepare(spark)
+    rows = []
+    for i in range(300):
+        words = sentence(3000 + i, 448).split()
+        if i % 3 == 0:
+            words[130:158:2] = ["vileword"] * 14  # in windows 3 and 4 of 13; six evenly spread ones are 0, 2, 5, 7, 10 and 12
+        rows.append(doc(i, " ".join(words)))
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id BIGINT, toxic INT")
+    out = toxicity.scored(spark.createDataFrame(rows, DOCS), labels, learn()).collect()
+    assert held_out_accuracy(out, labels, "toxic", toxicity.CUT) > 0.95
+
+
 def test_windows_cover_every_word():
     for n in (0, 1, 63, 64, 65, 96, 97, 500):
         wins = toxicity.windows(np.arange(n))
