@@ -28,3 +28,9 @@ def new_file(path: str):
     with store.open_output_stream(part, compression=None) as f:
         yield f
     store.move(part, name)
+
+
+def read_file(path: str) -> bytes:
+    store, name = open_store(path)
+    with store.open_input_file(name) as f:
+        return f.read()
