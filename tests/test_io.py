@@ -150,7 +150,10 @@ def test_missing_nested_fields_are_dead_letters(spark):
 def test_insert_if_absent_keeps_the_smallest_of_equal_keys(spark):
     path = scratch_path(spark, "docs-ties")
     keyed.insert_if_absent(spark, spark.createDataFrame([("k", "b"), ("k", "a")], "_id STRING, text STRING"), path)
-    assert [r.text for r in spark.read.parquet(path).collect()] == ["a"]
+    assert [r.text for r in keyed.read(spark, path).collect()] == ["a"]
+    late = spark.createDataFrame([("n", "b", 1), ("n", "a", 2), ("k", "c", 0)], "_id STRING, text STRING, at INT")
+    keyed.insert_if_absent(spark, late, path, order="at")  # the first delivered
+    assert sorted((r._id, r.text) for r in keyed.read(spark, path).collect()) == [("k", "a"), ("n", "b")]
 
 
 def test_a_cluster_without_a_shared_folder_is_an_error():
