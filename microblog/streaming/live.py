@@ -2,25 +2,24 @@
 
 Each builder takes a streaming frame of posts (``schema.TWEET_DDL``) and
 returns a streaming frame; ``start_*`` helpers attach sinks. Event time is
-``created_at``; callers choose the watermark delay. Sliding windows are chained
-aggregations: 1-second panes first (state per key and second), then the
-windows over pane time, so raw rows are never copied once per window.
+``created_at``; callers choose the watermark delay. Sliding windows start from
+panes (state per key and pane), so raw rows are never copied once per window:
+``timers`` keeps them as keyed state, ``sliding_counts`` chains aggregations.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import json as J
 from ..functions import labels as L
 from ..functions import text as T
-from ..operators import sentiment, topics
+from ..operators import sentiment, softmax, topics, windows
 from ..sinks import keyed
-from ..sinks.keyed import path_missing
+from . import timers
 
 # The reference's micro-batch interval and window.
 BATCH_INTERVAL = "1 second"
@@ -50,14 +49,20 @@ def sliding_counts(rows: DataFrame, key: str, width: str, slide: str, delay: str
     return w.select(key, F.unix_seconds(F.col("window.end")).alias("window_end"), F.col("n").cast("bigint").alias("n"))
 
 
+def english_hashtags(posts: DataFrame) -> DataFrame:
+    return topics.hashtag_rows(posts.filter(F.col("lang") == "en"), keep=("created_at",))
+
+
+def english_mentions(posts: DataFrame) -> DataFrame:
+    return topics.mention_rows(posts.filter(F.col("lang") == "en"), keep=("created_at",))
+
+
 def hashtag_windows(posts: DataFrame, width: str = WINDOW, slide: str = SLIDE, delay: str = "10 minutes") -> DataFrame:
-    rows = topics.hashtag_rows(posts.filter(F.col("lang") == "en"), keep=("created_at",))
-    return sliding_counts(rows, "token", width, slide, delay)
+    return sliding_counts(english_hashtags(posts), "token", width, slide, delay)
 
 
 def mention_windows(posts: DataFrame, width: str = WINDOW, slide: str = SLIDE, delay: str = "10 minutes") -> DataFrame:
-    rows = topics.mention_rows(posts.filter(F.col("lang") == "en"), keep=("created_at",))
-    return sliding_counts(rows, "token", width, slide, delay)
+    return sliding_counts(english_mentions(posts), "token", width, slide, delay)
 
 
 def top_hashtags_complete(posts: DataFrame, k: int = 10) -> DataFrame:
@@ -85,163 +90,137 @@ def late_panes(events: DataFrame, delay: str) -> DataFrame:
     return p.select(F.unix_seconds(F.col("window.start")).alias("sec"), "n")
 
 
-def scored_documents(envelopes: DataFrame, model: PipelineModel) -> DataFrame:
-    """Kafka-shaped records → parsed (with reason) → scored documents.
-
-    Rows keep their ``reason``; good rows get ``_id``, serving-clean text,
-    the predicted class (−1 when nothing is left to score) and a key check.
-    """
+def routed_documents(envelopes: DataFrame) -> DataFrame:
+    """Kafka-shaped records → documents with a status: ``ok``, the reason why
+    the record did not parse, or ``bad_key``. Good rows have ``_id``, the text
+    and its serving-clean form."""
     source = [c for c in ("topic", "partition", "offset") if c in envelopes.columns]
     routed = J.route(envelopes.select(*source, "value"), "value", J.ID_TEXT_DDL, ("id_str", "text"))
-    cleaned = routed.withColumn("clean", T.clean_serving("text"))
-    scored = sentiment.score(model, cleaned, text="clean")
     key = L.document_key("id_str")
-    return scored.select(
-        *source, F.col("value").cast("string").alias("value"), key.alias("_id"), "text", "sentiment", "reason",
+    return routed.select(
+        *source, F.col("value").cast("string").alias("value"), key.alias("_id"), "text", T.clean_serving("text").alias("clean"),
         F.when(F.col("reason") != J.REASON_OK, F.col("reason"))
          .when(~L.valid_document_key(key), F.lit("bad_key")).otherwise(F.lit(J.REASON_OK)).alias("status"),
     )
 
 
-def document_writer(table: str, dead_letters: str):
-    """foreachBatch body: upsert good documents, keep dead letters — both
-    keyed by batch id, so a replayed batch rewrites the same output."""
+def model_scorer(model: PipelineModel):
+    """Documents scored by a Spark ML pipeline."""
+    return lambda docs: sentiment.score(model, docs, text="clean")
+
+
+def vocabulary_scorer(vocab: DataFrame, weights: DataFrame):
+    """Documents encoded by the trained vocabulary and scored by its weights."""
+    return lambda docs: softmax.score(docs, vocab, weights, id_col="_id", text="clean")
+
+
+def document_writer(table: str, dead_letters: str, scorer, fold_share: float | None = 0.25):
+    """foreachBatch body for ``routed_documents``: the good documents, one of
+    each key (the last by offset), are scored by ``scorer`` (adds ``sentiment``;
+    reads ``clean``) and upserted; the others are kept as dead letters and never
+    reach the model. Both are keyed by batch id, so a replayed batch rewrites
+    the same output. Documents are folded into a snapshot once the batches after
+    the last one have ``fold_share`` of its bytes (None: never)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # written twice: score the micro-batch once
+        batch = batch.persist()  # written twice: parse the micro-batch once
         try:
             if batch.isEmpty():
                 return
-            ok = batch.filter(F.col("status") == J.REASON_OK).select("_id", "text", "sentiment")
-            keyed.upsert_batch(ok, table, batch_id)
+            good, last = F.col("status") == J.REASON_OK, F.col("offset") if "offset" in batch.columns else F.lit(0)
+            newest = batch.filter(good).groupBy("_id").agg(F.max(F.struct(last.alias("at"), "text", "clean")).alias("_v"))
+            docs = newest.select("_id", "_v.text", "_v.clean")
+            keyed.upsert_batch(scorer(docs).select("_id", "text", "sentiment"), table, batch_id)
             kept = [c for c in ("topic", "partition", "offset", "value") if c in batch.columns]
-            bad = batch.filter(F.col("status") != J.REASON_OK).select(*kept, "_id", "text", "status")
+            bad = batch.filter(~good).select(*kept, "_id", "text", "status")
             keyed.upsert_batch(bad, dead_letters, batch_id)
         finally:
             batch.unpersist()
+        if fold_share is not None:
+            keyed.fold_if_large(batch.sparkSession, table, fold_share)
 
     return write
 
 
-def first_rows_printer(n: int = 10, order: list | None = None):
-    """foreachBatch body: print the first ``n`` rows of each batch, or of each
-    window that the batch finishes."""
+def first_rows_printer(n: int = 10):
+    """foreachBatch body: print the first ``n`` rows of each batch."""
 
     def show(batch: DataFrame, batch_id: int) -> None:
-        if order and "window_end" in batch.columns:
-            rank = F.row_number().over(Window.partitionBy("window_end").orderBy(*order))
-            top = batch.withColumn("rank", rank).filter(F.col("rank") <= n).orderBy("window_end", "rank")
-            top.show(top.count() or n, truncate=False)
-        else:
-            (batch.orderBy(*order) if order else batch).show(n, truncate=False)
+        batch.show(n, truncate=False)
 
     return show
 
 
-def start_dashboards(posts: DataFrame, checkpoint_root: str, interval: str = BATCH_INTERVAL,
-                     delay: str = "10 minutes", width: str = WINDOW, slide: str = SLIDE) -> list[StreamingQuery]:
-    """Live view every ``interval``: finished hashtag and mention windows
-    (largest first) and a text preview. The windows are chained aggregations,
-    which Spark allows only in append mode: a window is shown once the
-    watermark (``delay`` behind the newest post) has passed its end."""
-    qs = []
-    for name, frame, order, mode in [
-        ("hashtags", hashtag_windows(posts, width, slide, delay), [F.desc("n"), "token"], "append"),
-        ("mentions", mention_windows(posts, width, slide, delay), [F.desc("n"), "token"], "append"),
-        ("text", posts.filter(F.col("lang") == "en").select("text"), None, "append"),
-    ]:
-        qs.append(frame.writeStream.outputMode(mode).foreachBatch(first_rows_printer(10, order))
-                  .option("checkpointLocation", f"{checkpoint_root}/{name}")
-                  .trigger(processingTime=interval).start())
-    return qs
+def tops_printer(key: str, n: int = 10):
+    """foreachBatch body for ``timers.salted_tops``: print the ``n`` largest of
+    every window that the batch finishes."""
 
+    def show(batch: DataFrame, batch_id: int) -> None:
+        for window in windows.top_per_window(batch, key, n).orderBy("window_end", "rank").toLocalIterator():
+            print(window.window_end, window["rank"], window[key], window.n)
 
-def start_feed(posts: DataFrame, servers: str, topic: str, checkpoint: str, terms: list[str] | None = None) -> StreamingQuery:
-    """The producer job: posts → tracked-term filter → Kafka topic."""
-    from ..sources import kafka
+    return show
 
-    kept = topics.track_terms(posts, terms) if terms else topics.track_terms(posts)
-    return kafka.write_stream(kept, servers, checkpoint, topic)
 
+def tops_writer(out: str, key: str, n: int = 10):
+    """foreachBatch body for ``timers.salted_tops``: the ``n`` largest of every
+    window, a folder per batch."""
 
-def final_panes(rows: DataFrame, key: str, delay: str) -> DataFrame:
-    """key, sec, c for 1-second panes, emitted once final (append mode)."""
-    p = pane_counts(rows, key, delay)
-    return p.select(key, F.unix_seconds(F.col("window.start")).alias("sec"), "c")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        keyed.upsert_batch(windows.top_per_window(batch, key, n), out, batch_id)
 
+    return write
 
-def change_point_writer(state_dir: str, out_dir: str, key: str, width: int = 300, keep_zero: bool = True):
-    """foreachBatch body: sliding counts in change-point form, from final panes.
 
-    A pane is final once the watermark passes it, so after a batch every
-    change point up to the newest final second ``H`` has all its panes. Each
-    batch unions the new panes with the carried panes of the last ``width``
-    seconds, runs the batch delta operator, emits the change points in
-    ``(H_prev, H]``, and carries the panes newer than ``H - width``.
+def start_dashboards(posts: DataFrame, checkpoint_root: str, interval: str = BATCH_INTERVAL,
+                     delay: str = "10 minutes", width: int = windows.WIDTH, slide: int = windows.SLIDE) -> list[StreamingQuery]:
+    """Live view every ``interval``: the ten largest hashtags and mentions of
+    every finished window and a text preview. A window is shown once the
+    watermark (``delay`` behind the newest post) has passed its end; its state is
+    one row per key and pane."""
+    qs = []
+    with timers.state_store(posts.sparkSession):
+        for name, frame, show in [
+            ("hashtags", timers.salted_tops(english_hashtags(posts), "token", delay, width, slide), tops_printer("token")),
+            ("mentions", timers.salted_tops(english_mentions(posts), "token", delay, width, slide), tops_printer("token")),
+            ("text", posts.filter(F.col("lang") == "en").select("text"), first_rows_printer(10)),
+        ]:
+            qs.append(frame.writeStream.outputMode("append").foreachBatch(show)
+                      .option("checkpointLocation", f"{checkpoint_root}/{name}")
+                      .trigger(processingTime=interval).start())
+    return qs
 
-    State is bounded by ``width`` seconds of panes and lives in two slots:
-    batch N reads slot (N-1) mod 2 — checked against the batch id stored with
-    it — and overwrites slot N mod 2, so reading never lists old batches and
-    a retried batch N rewrites only its own slot and output directory.
-    """
-    from ..operators.windows import sliding_count
 
-    def slot(n: int) -> str:
-        return f"{state_dir}/slot={n % 2}"
+def start_hashtag_change_points(posts: DataFrame, out_dir: str, checkpoint: str,
+                                delay: str = "10 seconds", interval: str = BATCH_INTERVAL) -> StreamingQuery:
+    """Live 300 s / 1 s hashtag counts in change-point form, as Parquet."""
+    with timers.state_store(posts.sparkSession):
+        return (timers.change_points(english_hashtags(posts), "token", delay).writeStream.outputMode("append")
+                .format("parquet").option("path", out_dir)
+                .option("checkpointLocation", checkpoint).trigger(processingTime=interval).start())
 
-    def read_state(spark, batch_id: int):
-        """(h_prev, carried panes) left by batch ``batch_id - 1``, or (None, None)."""
-        if batch_id == 0:
-            return None, None
-        try:
-            hz = spark.read.parquet(f"{slot(batch_id - 1)}/horizon").first()
-        except AnalysisException as e:
-            if not path_missing(e):
-                raise  # damaged or unreadable state must fail the batch
-            return None, None  # nothing carried yet
-        if hz is None or hz["batch_id"] != batch_id - 1:
-            raise RuntimeError(f"state for batch {batch_id - 1} missing in {state_dir}")
-        carried = spark.read.parquet(f"{slot(batch_id - 1)}/panes")
-        return hz["h"], carried
-
-    def write_state(spark, batch_id: int, h, panes: DataFrame) -> None:
-        panes.write.mode("overwrite").parquet(f"{slot(batch_id)}/panes")
-        spark.createDataFrame([(h, batch_id)], "h BIGINT, batch_id BIGINT").write.mode("overwrite").parquet(
-            f"{slot(batch_id)}/horizon")
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # several actions below: run the micro-batch once
-        try:
-            _write(batch, batch_id)
-        finally:
-            batch.unpersist()
+def counted_messages(envelopes: DataFrame, name: str = "messages") -> DataFrame:
+    """Routed messages (see ``functions.json.route``) whose counts by reason are
+    observed while they pass: a field per reason in the query's progress, no
+    second pass over the records."""
+    routed = J.route(envelopes)
+    return routed.observe(name, *[F.count_if(F.col("reason") == r).alias(r) for r in (J.REASON_OK, J.REASON_MISSING, J.REASON_BAD_JSON)])
 
-    def _write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        h_prev, carried = read_state(spark, batch_id)
-        h_batch = batch.agg(F.max("sec")).first()[0]
-        panes = batch.select(key, "sec", "c")
-        if carried is not None:
-            panes = carried.select(key, "sec", "c").unionByName(panes)
-        if h_batch is None:  # empty micro-batch: carry the state forward
-            if h_prev is not None:
-                write_state(spark, batch_id, h_prev, panes)   # slot N-1 is read, slot N written
-            return
-        h_new = max(h_batch, h_prev) if h_prev is not None else h_batch
-        points = sliding_count(panes, key, width=width, keep_zero=keep_zero, weight="c")
-        emit = points.filter(F.col("sec") <= F.lit(h_new))
-        if h_prev is not None:
-            emit = emit.filter(F.col("sec") > F.lit(h_prev))
-        emit.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
-        write_state(spark, batch_id, int(h_new), panes.filter(F.col("sec") > F.lit(h_new - width)))
 
-    return write
+def observed_totals(progress: list[dict], name: str = "messages") -> dict[str, int]:
+    """Sums of the observed counts over all micro-batches of the progress."""
+    out: dict[str, int] = {}
+    for p in progress:
+        seen = p["observedMetrics"].get(name)
+        for k, v in (seen.asDict() if seen is not None else {}).items():
+            out[k] = out.get(k, 0) + v
+    return out
 
 
-def start_hashtag_change_points(posts: DataFrame, state_dir: str, out_dir: str, checkpoint: str,
-                                delay: str = "10 seconds", interval: str = BATCH_INTERVAL) -> StreamingQuery:
-    """Live 300 s / 1 s hashtag counts in change-point form."""
-    rows = topics.hashtag_rows(posts.filter(F.col("lang") == "en"), keep=("created_at",))
-    return (final_panes(rows, "token", delay).writeStream.outputMode("append")
-            .foreachBatch(change_point_writer(state_dir, out_dir, "token"))
-            .option("checkpointLocation", checkpoint).trigger(processingTime=interval).start())
+def start_feed(posts: DataFrame, servers: str, topic: str, checkpoint: str, terms: list[str] | None = None) -> StreamingQuery:
+    """The producer job: posts → tracked-term filter → Kafka topic."""
+    from ..sources import kafka
+
+    kept = topics.track_terms(posts, terms) if terms else topics.track_terms(posts)
+    return kafka.write_stream(kept, servers, checkpoint, topic)
