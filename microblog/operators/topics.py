@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .common import bind_once
 
 # Terms tracked by the feed in the query catalogue.
 TRACK_TERMS = ["error", "click"]
@@ -41,3 +42,31 @@ def top_k(counted: DataFrame, key: str = "token", k: int = 10) -> DataFrame:
 def track_terms(df: DataFrame, terms: list[str] = TRACK_TERMS) -> DataFrame:
     """Posts with any lower-cased, punctuation-stripped token in ``terms``."""
     return df.filter(T.has_any_term("text", terms))
+
+
+def phrase_index(phrases: DataFrame, posts: DataFrame | None = None, phrase: str = "phrase", text: str = "text") -> DataFrame:
+    """word, words, phrase: each phrase under one of its words (lower-cased,
+    punctuation removed). Given ``posts``, that is the word that the fewest of
+    their tokens equal, so that a common word of a phrase brings up nothing;
+    otherwise the longest. A phrase without words matches nothing."""
+    split = phrases.select(phrase).where(F.col(phrase).isNotNull()).distinct().select(phrase, F.array_distinct(F.filter(T.term_tokens(phrase), lambda w: w != "")).alias("words"))
+    each = split.select(phrase, "words", F.explode("words").alias("word"))
+    if posts is None:
+        by = F.struct(-F.length("word"), "word")
+    else:
+        seen = posts.select(F.explode(T.term_tokens(text)).alias("word")).join(each.select("word").distinct(), "word", "left_semi")
+        seen = seen.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+        each = each.join(seen, "word", "left")
+        by = F.struct(F.coalesce("n", F.lit(0)), -F.length("word"), "word")
+    best = each.groupBy(phrase).agg(F.min_by(F.struct("word", "words"), by).alias("_b"))
+    return best.select(F.col("_b.word").alias("word"), F.col("_b.words").alias("words"), F.col(phrase).alias("phrase"))
+
+
+def track_phrases(posts: DataFrame, index: DataFrame, text: str = "text") -> DataFrame:
+    """The posts' columns and ``phrase``, a row for every phrase all of whose
+    words occur in the post, in any order (a phrase of one word is a term). The
+    index is joined by one word of each phrase, so thousands of phrases cost a
+    look-up per distinct token, and only posts with that word are tested."""
+    bound = bind_once(posts, "_words", F.array_distinct(T.term_tokens(text)))
+    found = bound.select("*", F.explode("_words").alias("word")).join(index, "word")
+    return found.where(F.forall("words", lambda w: F.array_contains("_words", w))).select(*posts.columns, "phrase")

@@ -98,6 +98,20 @@ def track_terms(spark, sf):
     return topics.track_terms(schema.tweets_base(spark, sf)).select("id_str")
 
 
+# Fixed value: words of a benchmark passage that make a tracked phrase.
+PHRASE_WORDS = 3
+
+
+@query
+def track_phrases(spark, sf):
+    """Posts with all words of a phrase; phrases are the beginnings of the
+    benchmark's passages."""
+    words = T.ws_tokens("text")
+    phrases = schema.table(spark, sf, "benchmark").select(F.array_join(F.slice(words, 1, PHRASE_WORDS), " ").alias("phrase"))
+    posts = schema.tweets_base(spark, sf)
+    return topics.track_phrases(posts, topics.phrase_index(phrases, posts)).select("id_str", "phrase")
+
+
 @query
 def token_explode(spark, sf):
     return topics.counts(topics.token_rows(_te(spark, sf)))

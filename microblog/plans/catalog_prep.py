@@ -182,17 +182,12 @@ def cross_entropy(spark, sf):
     return s.agg(F.round(F.avg(L.cross_entropy("scores", "label")), 6).alias("ce"))
 
 
-@query
-def score_with_sentinel(spark, sf):
-    lab = schema.labelled(spark, sf).select("id", "tweet")
-    s = lab.join(schema.scores(spark, sf).select("id", "scores"), "id")
-    blank = F.size(T.ws_tokens(T.clean_serving("tweet"))) == 0
-    return s.select("id", F.when(blank, F.lit(L.BAD_INPUT)).otherwise(L.argmax("scores"))
-                    .cast("int").alias("sentiment"))
-
-
 # Fixed value: marker appended to the text of re-delivered documents.
 NEW_VERSION = " (v2)"
+LATE_VERSION = " (late)"
+
+# Of each batch of versions, the ids it holds are multiples of this.
+VERSIONS = [1, 2, 3]
 
 
 def _documents(spark, sf):
@@ -205,9 +200,24 @@ def insert_if_absent(spark, sf):
     path = scratch_path(spark, "documents")
     docs = _documents(spark, sf)
     keyed.insert_if_absent(spark, docs.filter(F.col("eid") % 2 == 0).select("_id", "text"), path)
-    redelivered = docs.select("_id", F.concat("text", F.lit(NEW_VERSION)).alias("text"))
-    keyed.insert_if_absent(spark, redelivered.unionByName(redelivered), path)
-    return spark.read.parquet(path).select("_id", "text")
+    again = docs.select("_id", F.concat("text", F.lit(NEW_VERSION)).alias("text"), F.lit(1).alias("delivery"))
+    late = docs.select("_id", F.concat("text", F.lit(LATE_VERSION)).alias("text"), F.lit(2).alias("delivery"))
+    keyed.insert_if_absent(spark, late.unionByName(again), path, order="delivery")  # the first delivered stays
+    return keyed.read(spark, path).select("_id", "text")
+
+
+@query
+def document_table_fold(spark, sf):
+    """Three batches of versions; the first two are folded into a snapshot."""
+    path = scratch_path(spark, "versions")
+    docs = _documents(spark, sf)
+    for batch, every in enumerate(VERSIONS):
+        rows = docs.filter(F.col("eid") % every == 0)
+        text = F.concat("text", F.lit(f" (v{batch + 1})")) if batch else F.col("text")
+        keyed.upsert_batch(rows.select("_id", text.alias("text")), path, batch)
+        if batch == 1:
+            keyed.fold(spark, path)
+    return keyed.latest(spark, path)
 
 
 # Fixed value: the event looked up by key.

@@ -8,7 +8,7 @@ uses, so the two sides are independent.
 from __future__ import annotations
 
 from . import sqlfrag as S
-from .catalog import DENSE_SLIDE, DENSE_WIDTH
+from .catalog import DENSE_SLIDE, DENSE_WIDTH, PHRASE_WORDS
 from ..functions.labels import DOC_KEY_PATTERN, DOC_KEY_SUFFIX
 from ..operators.topics import TRACK_TERMS
 from ..operators.windows import WIDTH
@@ -48,6 +48,11 @@ FROM env GROUP BY 1""")
 
 oracle("english_tweets", TW + "SELECT id_str, sec, text FROM te")
 oracle("track_terms", TW + f"SELECT id_str FROM tweets WHERE {S.term_match('text', TRACK_TERMS)}")
+oracle("track_phrases", TW + f"""
+, ph AS (SELECT DISTINCT array_to_string(({S.ws_tokens('text')})[1:{PHRASE_WORDS}], ' ') AS phrase FROM benchmark WHERE text IS NOT NULL)
+, pw AS (SELECT phrase, list_filter(list_transform({S.ws_tokens('lower(phrase)')}, lambda w: translate(w, {S.P}, '')), lambda w: w <> '') AS words FROM ph)
+, tw AS (SELECT id_str, list_transform({S.ws_tokens('lower(text)')}, lambda w: translate(w, {S.P}, '')) AS words FROM tweets)
+SELECT id_str, phrase FROM tw JOIN pw ON len(pw.words) > 0 AND list_has_all(tw.words, pw.words)""")
 oracle("token_explode", TW + f"""
 SELECT token, count(*) AS n FROM (SELECT unnest({S.space_tokens('text')}) AS token FROM te) GROUP BY token""")
 oracle("tokens_ws", TW + f"SELECT id_str, CAST(len({S.ws_tokens('text')}) AS INTEGER) AS n_tokens FROM tweets")

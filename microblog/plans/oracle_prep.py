@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import sqlfrag as S
-from .catalog_prep import LOOKUP_EVENT, NEW_VERSION
+from .catalog_prep import LOOKUP_EVENT, NEW_VERSION, VERSIONS
 from .oracle import oracle
 from ..functions.labels import DOC_KEY_SUFFIX
 from ..operators.prep import NA_VALUES
@@ -78,20 +78,16 @@ SCORES = """WITH sc AS (
 oracle("argmax_class", SCORES + "SELECT id, CAST(list_position(s, list_max(s)) - 1 AS INTEGER) AS sentiment FROM sc")
 oracle("cross_entropy", SCORES + """SELECT round(avg(ln(exp(s[1]) + exp(s[2]) + exp(s[3])) - list_extract(s, label + 1)), 6) AS ce
 FROM sc""")
-oracle("score_with_sentinel", SCORES + ", " + S.LABELLED.strip() + f"""
-SELECT id, CAST(CASE WHEN len({S.ws_tokens(S.clean_serving('tweet'))}) = 0 THEN -1
-                     ELSE list_position(s, list_max(s)) - 1 END AS INTEGER) AS sentiment
-FROM labelled JOIN sc USING (id)""")
 oracle("insert_if_absent", S.with_(S.TWEETS) + f"""SELECT id_str || {sql_str(DOC_KEY_SUFFIX)} AS _id,
 CASE WHEN event_id % 2 = 0 THEN text ELSE text || {sql_str(NEW_VERSION)} END AS text FROM tweets""")
+oracle("document_table_fold", S.with_(S.TWEETS) + f"""SELECT id_str || {sql_str(DOC_KEY_SUFFIX)} AS _id,
+text || CASE WHEN event_id % {VERSIONS[2]} = 0 THEN ' (v3)' WHEN event_id % {VERSIONS[1]} = 0 THEN ' (v2)' ELSE '' END AS text FROM tweets""")
 oracle("point_lookup", S.with_(S.TWEETS) + f"""SELECT id_str || {sql_str(DOC_KEY_SUFFIX)} AS _id, text FROM tweets
 WHERE event_id = {LOOKUP_EVENT}""")
 
 # every test row must get the same class from the reloaded model
 oracle("sentiment_model_roundtrip", EX + "SELECT count(*) AS n_equal FROM examples WHERE md5(CAST(id AS VARCHAR)) >= 'b333'")
 oracle("sentiment_train_eval", EX + "SELECT count(*) AS n, true AS below_uniform FROM examples WHERE md5(CAST(id AS VARCHAR)) >= 'b333'")
-oracle("score_upsert_stream", S.with_(S.TWEETS) + f"""SELECT id_str || {sql_str(DOC_KEY_SUFFIX)} AS _id, text, true AS same_class
-FROM tweets WHERE event_id % 10 NOT IN (0, 1)""")
 oracle("dead_letter_rows", S.with_(S.TWEETS) + """SELECT event_id AS "offset",
 CASE WHEN event_id % 10 = 1 THEN 'not json' ELSE '{"id_str":"' || id_str || '","user":{"verified":' || CAST(verified AS VARCHAR)
   || ',"followers_count":' || CAST(followers_count AS VARCHAR) || ',"friends_count":' || CAST(friends_count AS VARCHAR) || '}}' END AS "value",

@@ -10,6 +10,12 @@ oracle("stream_hashtags_sliding", ORACLE["hashtags_window_dense"])
 oracle("stream_top_complete", ORACLE["top_hashtags"])
 oracle("stream_hashtags_change_points", ORACLE["hashtags_sliding"])
 oracle("stream_mentions_change_points", ORACLE["mentions_sliding"])
+oracle("stream_mentions_additive_change_points", ORACLE["mentions_sliding_additive"])
+oracle("stream_verified_change_points", ORACLE["verified_sliding"])
+oracle("stream_top_per_slide", ORACLE["top_per_slide"])
+oracle("late_corrections", ORACLE["hashtags_window_dense"])
+oracle("stream_message_counts", ORACLE["dead_letter_split"])
+oracle("directory_posts", ORACLE["tweets_base"])
 oracle("stream_avg_followers", ORACLE["avg_followers_total"])
 oracle("stream_restart_equals_single_run", ORACLE["hashtag_counts"])
 oracle("late_rows_dropped", f"""

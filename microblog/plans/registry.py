@@ -27,7 +27,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_oracles() -> dict[str, str]:
-    from . import oracle, oracle_prep, oracle_stream  # noqa: F401  each registers its SQL
+    from . import oracle, oracle_prep, oracle_softmax, oracle_stream  # noqa: F401  each registers its SQL
 
     qs = all_queries()
     return {k: v for k, v in oracle.ORACLE.items() if k in qs}
