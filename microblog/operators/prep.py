@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema
+from ..config import scratch_path
 from ..functions import text as T
 from ..functions.labels import label_remap
 from .common import bind_once
@@ -84,9 +85,9 @@ def split(df: DataFrame, id_col: str = "id") -> tuple[DataFrame, DataFrame]:
     return df.filter(flag), df.filter(~flag)
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """A few rows to look at (no order implied)."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 5, key: str | None = None) -> DataFrame:
+    """A few rows to look at: the first by ``key``, else any."""
+    return head_n(df, n, key) if key else df.limit(n)
 
 
 def head_n(df: DataFrame, n: int, key: str) -> DataFrame:
@@ -114,6 +115,24 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shuffled_positions(examples(spark, sf_dir), "id")
 
 
-def first_prepared(spark: SparkSession, sf_dir: str, n: int = 1000) -> DataFrame:
-    """The step after it: a subset of ``n`` examples, by id."""
-    return head_n(examples(spark, sf_dir), n, "id")
+# The subsets that the preparation job cuts from the head of the
+# shuffled corpus, one from the other.
+SUBSETS = (100_000, 1_000)
+
+
+def shuffled_head(df: DataFrame, n: int, key: str, seed: int = SHUFFLE_SEED) -> DataFrame:
+    """The rows at positions 1 to ``n`` of the shuffle (a top-k, no full sort)."""
+    return shuffle_rows(df, key, seed).limit(n)
+
+
+def first_prepared(spark: SparkSession, sf_dir: str, subsets: tuple[int, ...] = SUBSETS) -> DataFrame:
+    """The step after it: the head of the shuffled corpus, cut again and again."""
+    return shuffled_head(examples(spark, sf_dir), min(subsets), "id")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Written once to the shared folder and read back, for frames that several
+    steps read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -20,10 +20,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import scratch_path
 from ..functions.labels import BAD_INPUT
 from . import vocab as V
-from .prep import shuffle_key
+from .prep import shuffle_key, stored
 
 # Fixed value: number of sentiment classes.
 CLASSES = 3
@@ -51,13 +50,6 @@ def features(encoded: DataFrame, id_col: str = "id") -> DataFrame:
     return pairs.select(id_col, "idx", (F.col("c") / norm).alias("x")).unionByName(bias)
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder and read back."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _weighted(rows: DataFrame, weights: DataFrame) -> DataFrame:
     """The features with the weights of their index; the head is bounded."""
     low = F.col("idx") < V.FIRST_REAL_IDX + V.HEAD_ROWS
@@ -82,7 +74,7 @@ def _fit(rows: DataFrame, penalties: tuple[float, ...], params: Params) -> DataF
     """idx, w<r>_<k>: the weights of every penalty r. ``rows``: id, label, idx, x."""
     n = rows.where(F.col("idx") == BIAS).count()
     every = [c for r in range(len(penalties)) for kind in "wv" for c in _names(kind, r)]
-    state = _stored(rows.select("idx").distinct().select("idx", *[F.lit(0.0).alias(c) for c in every]), "weights")
+    state = stored(rows.select("idx").distinct().select("idx", *[F.lit(0.0).alias(c) for c in every]), "weights")
     for _ in range(params.steps if n else 0):
         whole = Window.partitionBy("id")
         found = _weighted(rows, state)
@@ -99,7 +91,7 @@ def _fit(rows: DataFrame, penalties: tuple[float, ...], params: Params) -> DataF
                 held = F.col(w) * F.when(F.col("idx") == BIAS, 0.0).otherwise(penalty)
                 step = F.col(v) * params.momentum - (F.col(g) + held) * params.rate
                 new += [step.alias(v), (F.col(w) + step).alias(w)]
-        state = _stored(moved.select(*new), "weights")
+        state = stored(moved.select(*new), "weights")
     return state.select("idx", *[c for r in range(len(penalties)) for c in _names("w", r)])
 
 
@@ -137,7 +129,7 @@ def choose(rows: DataFrame, labels: DataFrame, params: Params) -> tuple[int, lis
 def train(examples: DataFrame, vocab: DataFrame, params: Params = Params()) -> DataFrame:
     """The weights (idx, w0_<class>) learnt from ``examples`` (id, label, text)."""
     labels = examples.select("id", "label")
-    rows = _stored(features(V.encode(examples, vocab)).join(labels, "id").select("id", "label", "idx", "x"), "features")
+    rows = stored(features(V.encode(examples, vocab)).join(labels, "id").select("id", "label", "idx", "x"), "features")
     best, _ = choose(rows, labels, params)
     return _fit(rows, (params.penalties[best],), params)
 

@@ -45,14 +45,23 @@ def kafka_envelope_value(spark, sf):
                       F.length(msg.getField("text")).cast("bigint").alias("value_len"))
 
 
+# A field of the feed's messages that the typed message lacks.
+EXTRA_FIELD, EXTRA_DDL = ',"place":{"name":"here"}}', "place STRUCT<name: STRING>"
+
+
 @query
 def kafka_sink_payload(spark, sf):
-    from ..sources import kafka
+    """Whole messages that hold a tracked term, as records of the feed; each
+    holds a field that no schema here knows."""
+    from ..streaming import live
 
-    feed = topics.track_terms(schema.tweets(spark, sf))
-    records = kafka.to_records(feed)
-    back = F.from_json(F.col("value").cast("string"), J.ID_TEXT_DDL)
-    return records.select(back.getField("id_str").alias("id_str"), back.getField("text").alias("text"))
+    env = schema.envelope(schema.tweets(spark, sf))
+    more = F.concat(F.expr("substring(cast(value as string), 1, length(cast(value as string)) - 1)"), F.lit(EXTRA_FIELD))
+    records = live.feed_records(env.withColumn("value", more.cast("binary")))
+    back = F.from_json(F.col("value"), f"{J.MESSAGE_DDL}, {EXTRA_DDL}")
+    fields = ["verified", "followers_count", "friends_count"]
+    return records.select(back.getField("id_str").alias("id_str"), back.getField("text").alias("text"), back.getField("place").getField("name").alias("place"),
+                          *[back.getField("user").getField(f).alias(f) for f in fields])
 
 
 def _parsed(spark, sf, ddl=J.MESSAGE_DDL, required=("id_str", "text", "user")):

@@ -50,6 +50,21 @@ def prepared_examples(spark, sf):
     return prep.first_prepared(spark, sf).select("id", "label", F.col("text").alias("tweet"))
 
 
+# Fixed value: rows of a head that is shorter than every test corpus.
+HEAD_EXAMPLES = 100
+
+
+@query
+def prepared_head(spark, sf):
+    return prep.first_prepared(spark, sf, (HEAD_EXAMPLES,)).select("id", "label", F.col("text").alias("tweet"))
+
+
+@query
+def preview(spark, sf):
+    """Five rows of the corpus as they are looked at between the steps."""
+    return prep.preview(schema.labelled(spark, sf).select("id", "sentiment", "tweet"), key="id").drop("id")
+
+
 @query
 def prep_pipeline(spark, sf):
     return prep.prepared(spark, sf).select("id", "label", F.col("text").alias("tweet"), "pos")
@@ -86,7 +101,7 @@ def labelled_csv_scan(spark, sf):
     """The raw corpus, texts as they are, through CSV files."""
     path = scratch_path(spark, "labelled-csv")
     sink_files.write_csv(schema.labelled(spark, sf), path, header=False)
-    return src_files.read_labelled_csv(spark, path, escaped=True)
+    return src_files.read_labelled_csv(spark, path)
 
 
 @query
@@ -103,10 +118,32 @@ def csv_scan_roundtrip(spark, sf):
     return src_files.read_examples_csv(spark, path)
 
 
+@query
+def examples_csv_raw(spark, sf):
+    """Examples with their texts as they are: punctuation, quotes, line ends."""
+    path = scratch_path(spark, "examples-raw-csv")
+    rows = schema.labelled(spark, sf).select(L.label_remap("sentiment").alias("label"), F.col("tweet").alias("text"))
+    sink_files.write_csv(rows, path)
+    return src_files.read_examples_csv(spark, path)
+
+
+@query
+def csv_rescan(spark, sf):
+    """The scan between two steps: what a CSV file cannot hold is missing."""
+    path = scratch_path(spark, "rescan-csv")
+    sink_files.write_csv(_cleaned_with_edges(spark, sf), path)
+    return src_files.rescan_csv(spark, path, "id BIGINT, tweet STRING").na.drop("any")
+
+
 def _train(spark, sf):
     return prep.split(prep.examples(spark, sf))[0]
 
 
+def _stored_examples(spark, sf):
+    """The cleaned corpus, joined and cleaned once for all steps of a query."""
+    return prep.stored(prep.examples(spark, sf), "examples")
+
+
 def _vocab(spark, sf):
     return V.build(_train(spark, sf))
 
@@ -126,20 +163,18 @@ def label_counts(spark, sf):
     return _train(spark, sf).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _encoded(spark, sf, vocab=None):
-    return V.encode(prep.examples(spark, sf), vocab if vocab is not None else _vocab(spark, sf))
-
-
 @query
 def vocab_encode(spark, sf):
-    e = _encoded(spark, sf)
+    ex = _stored_examples(spark, sf)
+    e = V.encode(ex, V.build(prep.split(ex)[0]))
     return e.select("id", F.array_join("ids", " ").alias("ids"), "n_tokens")
 
 
 @query
 def vocab_decode(spark, sf):
-    vocab = _vocab(spark, sf)
-    return V.decode(_encoded(spark, sf, vocab), vocab)
+    ex = _stored_examples(spark, sf)
+    vocab = V.build(prep.split(ex)[0])
+    return V.decode(V.encode(ex, vocab), vocab)
 
 
 @query
@@ -155,7 +190,8 @@ def encode_1xn(spark, sf):
                                              T.clean_serving("text").alias("text"))
     batch = V.encode(t, _vocab(spark, sf)).withColumn("m", V.as_1xn("ids"))
     return batch.select("id", F.size("m").cast("int").alias("n_rows"),
-                        F.size(F.element_at("m", 1)).cast("int").alias("n_cols"))
+                        F.size(F.element_at("m", 1)).cast("int").alias("n_cols"),
+                        F.array_join(F.element_at("m", 1), " ").alias("ids"))
 
 
 @query
@@ -165,8 +201,8 @@ def length_batches(spark, sf):
 
 @query
 def pad_batches(spark, sf):
-    train = _train(spark, sf)
-    enc = V.encode(train, _vocab(spark, sf))
+    train = prep.split(_stored_examples(spark, sf))[0]
+    enc = V.encode(train, V.build(train))
     p = V.pad(V.batches(V.lengths(train)), enc)
     return p.select("id", F.array_join("padded", " ").alias("padded"), "n_tokens")
 

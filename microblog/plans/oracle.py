@@ -27,7 +27,8 @@ GOOD_MESSAGE = "SELECT id_str, text, verified, followers_count, friends_count FR
 
 oracle("tweets_base", TW + "SELECT id_str, sec, lang, text, verified, followers_count, friends_count FROM tweets")
 oracle("kafka_envelope_value", TW + "SELECT id_str, CAST(length(text) AS BIGINT) AS value_len FROM tweets")
-oracle("kafka_sink_payload", TW + f"SELECT id_str, text FROM tweets WHERE {S.term_match('text', TRACK_TERMS)}")
+oracle("kafka_sink_payload", TW + f"""SELECT id_str, text, 'here' AS place, verified, followers_count, friends_count
+FROM tweets WHERE {S.term_match('text', TRACK_TERMS)}""")
 oracle("json_extract_message", TW + GOOD_MESSAGE)
 oracle("json_extract_id_text", TW + "SELECT id_str, text FROM tweets")
 oracle("user_fields", TW + "SELECT id_str, verified, followers_count FROM tweets")

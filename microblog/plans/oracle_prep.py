@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import sqlfrag as S
-from .catalog_prep import LOOKUP_EVENT, NEW_VERSION, VERSIONS
+from .catalog_prep import HEAD_EXAMPLES, LOOKUP_EVENT, NEW_VERSION, VERSIONS
 from .oracle import oracle
 from ..functions.labels import DOC_KEY_SUFFIX
 from ..operators.prep import NA_VALUES
@@ -23,7 +23,11 @@ c AS (SELECT id, {S.clean_full('tweet')} AS tweet FROM rows)
 oracle("drop_missing", LAB + _EDGES + f"SELECT id, tweet FROM c WHERE tweet IS NOT NULL AND NOT list_contains({NA}, tweet)")
 oracle("drop_blank", LAB + _EDGES + f"""SELECT id, tweet FROM c WHERE tweet IS NOT NULL AND NOT list_contains({NA}, tweet)
 AND NOT {S.is_blank('tweet')}""")
-oracle("prepared_examples", EX + "SELECT id, label, text AS tweet FROM examples ORDER BY id LIMIT 1000")
+oracle("prepared_examples", EX + "SELECT id, label, text AS tweet FROM examples ORDER BY md5(CAST(id AS VARCHAR) || '-42'), id LIMIT 1000")
+oracle("prepared_head", EX + f"SELECT id, label, text AS tweet FROM examples ORDER BY md5(CAST(id AS VARCHAR) || '-42'), id LIMIT {HEAD_EXAMPLES}")
+oracle("preview", LAB + "SELECT sentiment, tweet FROM (SELECT id, sentiment, tweet FROM labelled ORDER BY id LIMIT 5)")
+oracle("csv_rescan", LAB + _EDGES + f"SELECT id, tweet FROM c WHERE tweet IS NOT NULL AND NOT list_contains({NA}, tweet)")
+oracle("examples_csv_raw", LAB + f"SELECT {S.remap('sentiment')} AS label, tweet AS text FROM labelled")
 oracle("head_n", LAB + "SELECT id, tweet FROM labelled ORDER BY id LIMIT 100")
 oracle("split_70_30", LAB + "SELECT id, md5(CAST(id AS VARCHAR)) < 'b333' AS is_train FROM labelled")
 oracle("split_70_30_long_ids", LAB + """SELECT 1312534567590000000 + id AS id,
@@ -37,7 +41,7 @@ oracle("csv_scan_roundtrip", EX + "SELECT label, text FROM examples")
 
 VOCAB = f""", freq AS (
   SELECT token, count(*) AS freq FROM (SELECT unnest({S.ws_tokens('text')}) AS token FROM train) GROUP BY token),
-vocab AS (SELECT token, freq, CAST(row_number() OVER (ORDER BY freq DESC, token) + 1 AS INTEGER) AS idx FROM freq)
+vocab AS (SELECT token, freq, CAST(row_number() OVER (ORDER BY freq DESC, token) + 1 AS BIGINT) AS idx FROM freq)
 """
 
 
@@ -56,11 +60,12 @@ oracle("vocab_build", EX + VOCAB + "SELECT token, freq, idx FROM vocab")
 oracle("vocab_size", EX + VOCAB + "SELECT count(*) + 2 AS n FROM vocab")
 oracle("label_counts", EX + "SELECT label, count(*) AS n FROM train GROUP BY label")
 oracle("vocab_encode", EX + VOCAB + _enc("examples") + "SELECT id, ids, n_tokens FROM enc")
+oracle("encode_1xn", EX + VOCAB + ", " + S.TWEETS.strip() + f""",
+served AS (SELECT id_str AS id, {S.clean_serving('text')} AS text FROM tweets)""" + _enc("served") + """
+SELECT id, CAST(1 AS INTEGER) AS n_rows, n_tokens AS n_cols, ids FROM enc""")
 oracle("vocab_decode", EX + VOCAB + _enc("examples") + "SELECT id, decoded AS text FROM enc")
-oracle("vocab_roundtrip", EX + VOCAB + """SELECT '<unk>' AS token, CAST(0 AS INTEGER) AS idx
-UNION ALL SELECT '<pad>', CAST(1 AS INTEGER) UNION ALL SELECT token, idx FROM vocab""")
-oracle("encode_1xn", S.with_(S.TWEETS) + f"""SELECT id_str AS id, CAST(1 AS INTEGER) AS n_rows,
-CAST(len({S.ws_tokens(S.clean_serving('text'))}) AS INTEGER) AS n_cols FROM tweets""")
+oracle("vocab_roundtrip", EX + VOCAB + """SELECT '<unk>' AS token, CAST(0 AS BIGINT) AS idx
+UNION ALL SELECT '<pad>', CAST(1 AS BIGINT) UNION ALL SELECT token, idx FROM vocab""")
 
 _BATCH = f""", r AS (SELECT id, ids, n_tokens, (row_number() OVER (ORDER BY n_tokens, id) - 1) // {BATCH_SIZE} AS batch
 FROM enc)

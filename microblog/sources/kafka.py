@@ -64,7 +64,12 @@ def to_records(df: DataFrame) -> DataFrame:
 
 
 def write_stream(df: DataFrame, servers: str, checkpoint: str, topic: str):
-    return (to_records(df).writeStream.format("kafka").options(**sink_options(servers, topic))
+    return start_writer(to_records(df), servers, checkpoint, topic)
+
+
+def start_writer(records: DataFrame, servers: str, checkpoint: str, topic: str):
+    """Stream records (key, value) to a topic."""
+    return (records.writeStream.format("kafka").options(**sink_options(servers, topic))
             .option("checkpointLocation", checkpoint).start())
 
 

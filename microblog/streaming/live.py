@@ -19,6 +19,7 @@ from ..functions import labels as L
 from ..functions import text as T
 from ..operators import sentiment, softmax, topics, windows
 from ..sinks import keyed
+from ..sources import kafka
 from . import timers
 
 # The reference's micro-batch interval and window.
@@ -218,9 +219,13 @@ def observed_totals(progress: list[dict], name: str = "messages") -> dict[str, i
     return out
 
 
-def start_feed(posts: DataFrame, servers: str, topic: str, checkpoint: str, terms: list[str] | None = None) -> StreamingQuery:
-    """The producer job: posts → tracked-term filter → Kafka topic."""
-    from ..sources import kafka
+def feed_records(envelopes: DataFrame, terms: list[str] = topics.TRACK_TERMS) -> DataFrame:
+    """Records (key, value) of the messages that hold a tracked term, each
+    value as it came, with every field it has."""
+    posts = J.good(J.route(envelopes.select("value")))
+    return kafka.to_records(topics.track_terms(posts, terms))
 
-    kept = topics.track_terms(posts, terms) if terms else topics.track_terms(posts)
-    return kafka.write_stream(kept, servers, checkpoint, topic)
+
+def start_feed(envelopes: DataFrame, servers: str, topic: str, checkpoint: str, terms: list[str] = topics.TRACK_TERMS) -> StreamingQuery:
+    """The producer job: messages → tracked-term filter → Kafka topic."""
+    return kafka.start_writer(feed_records(envelopes, terms), servers, checkpoint, topic)

@@ -54,6 +54,10 @@ def test_labelled_csv_scan_keeps_first_row(spark):
     back = src_files.read_labelled_csv(spark, path)
     assert back.columns == schema.LABELLED_COLUMNS
     assert back.count() == raw.count()
+    assert sorted(back.toDF(*raw.columns).collect(), key=lambda r: r._c1) == sorted(raw.collect(), key=lambda r: r._c1)
+    foreign = spark.createDataFrame([("0,1,d,q,u,a\\nb\\\\c",)], "value STRING")
+    foreign.write.text(other := scratch_path(spark, "foreign-csv"))
+    assert src_files.read_labelled_csv(spark, other).first().tweet == "a\\nb\\\\c"  # backslashes of others stay
 
 
 def test_insert_if_absent_and_lookup_prunes_buckets(spark):
