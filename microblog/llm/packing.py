@@ -8,7 +8,8 @@ bucket (``bucket`` = log2 of the length).
 
 Definitions: a null text is the empty text, so its document is the separator
 alone (one piece of length 1); rows with null or repeated ids are packed like
-any other; the input's other columns are not read. ``sequence_id`` numbers the
+any other; the tokenizer's added tokens have their ids wherever they stand; the
+input's other columns are not read. ``sequence_id`` numbers the
 pieces in the order of the scan (partition number, then position): unique, and
 the same again when a lost task reruns.
 """
@@ -48,7 +49,7 @@ def pack(docs: DataFrame, tokenizer_path: str, pattern: str, length: int = LENGT
     schema = pa.schema(fields + [("ids", pa.list_(pa.int32()))] * with_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(data.value, pattern)
+        encode = encoder(data.value, pattern, added=True)
         for b in blocks(batches, text):
             row, starts, lengths, totals, crcs, parts = [], [], [], [], [], []
             for i, raw in enumerate(encode(texts_of(b, text))):

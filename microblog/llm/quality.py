@@ -15,7 +15,8 @@ read all labelled texts to learn from.
 
 Definitions: null is the empty text; its features are zeros. Rows with a null
 id are scored, not learnt from, as are texts without a label or with a null
-one; a text with several labels counts as its largest. Without labels of both
+one; a text with several labels counts as its largest; of rows that share an id
+one is learnt from. Without labels of both
 kinds every score is 0.5 (kept). Ties at the quantile lie below
 the threshold, unless no score is higher; then all are kept. Other columns are not read.
 """
@@ -31,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import blocks, column, materialise, texts_of
 
@@ -52,7 +54,7 @@ class _Shapes(dict):
 
     def __missing__(self, word: str) -> int:
         self[word] = n = len(self)
-        classes = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:200])
+        classes = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
         self.length.append(len(word))
         self.shape.append(xxhash.xxh32_intdigest(_RUNS.sub(r"\1", classes).encode()) % SHAPES)
         return n
@@ -82,16 +84,19 @@ def features(text: str, shapes: _Shapes) -> np.ndarray:
     return own
 
 
-def featurise(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, x): the feature vector of every text. Written once."""
-    schema = pa.schema([("id", pa.int64()), ("x", pa.list_(pa.float32()))])
+def featurise(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, x) and the columns ``carry``: the feature vector of every text.
+    Written once."""
+    more = docs.select(*carry)
+    schema = pa.schema([("id", pa.int64()), ("x", pa.list_(pa.float32())), *to_arrow_schema(more.schema)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, text):
             shapes = _Shapes()
-            yield pa.RecordBatch.from_arrays([column(b, key).cast(pa.int64()), pa.array([features(t, shapes) for t in texts_of(b, text)], pa.list_(pa.float32()))], schema=schema)
+            yield pa.RecordBatch.from_arrays([column(b, key).cast(pa.int64()), pa.array([features(t, shapes) for t in texts_of(b, text)], pa.list_(pa.float32())), *(column(b, c) for c in carry)], schema=schema)
 
-    return materialise(docs.select(key, text).mapInArrow(run, "id bigint, x array<float>"), "features")
+    ddl = ", ".join(["id bigint, x array<float>", *(f"`{c}` {t}" for c, t in more.dtypes)])
+    return materialise(docs.select(*dict.fromkeys([key, text, *carry])).mapInArrow(run, ddl), "features")
 
 
 def fit(good: np.ndarray, bad: np.ndarray, pairs: int = PAIRS, ridge: float = RIDGE, seed: int = 1):
@@ -112,27 +117,32 @@ def fit(good: np.ndarray, bad: np.ndarray, pairs: int = PAIRS, ridge: float = RI
     return mean, scale, w
 
 
-def scored(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality", key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """(key, score): near 1 where label 1 is likely; ``CUT`` is the threshold.
-    ``learn``: which ids of ``labels`` may be learnt from."""
-    every = featurise(docs, key, text)
+def scored(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality", key: str = "doc_id", text: str = "text", sample: int = SAMPLE, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(key, score) and the columns ``carry`` of every row: near 1 where label 1
+    is likely; ``CUT`` is the threshold. ``learn``: which ids of ``labels`` may be
+    learnt from."""
+    every = featurise(docs, key, text, carry)
     known = labels.where(learn & F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max(label).cast("int").alias("y"))
-    known = every.where("id is not null").join(known, "id")
-    taken = [np.array([r.x for r in known.where(F.col("y") == y).select("id", "x").orderBy(F.xxhash64("id"), "id").limit(sample).collect()], dtype=np.float32) for y in (1, 0)]
+    known = materialise(known.join(every.select("id").distinct(), "id", "left_semi"), "labelled")
+    few = [known.where(F.col("y") == y).select("id", "y").orderBy(F.xxhash64("id"), "id").limit(sample) for y in (1, 0)]
+    one = every.join(F.broadcast(few[0].union(few[1])), "id").groupBy("id", "y").agg(F.min("x").alias("x"))  # of rows that share an id one is learnt from
+    got = sorted(one.collect(), key=lambda r: r.id)  # two times the sample at most
+    taken = [np.array([r.x for r in got if r.y == y], dtype=np.float32) for y in (1, 0)]
     if not all(map(len, taken)):
-        return every.select(F.col("id").alias(key), F.lit(0.5).alias("score"))
+        return every.select(F.col("id").alias(key), F.lit(0.5).alias("score"), *carry)
     mean, scale, w = fit(*taken)
-    schema = pa.schema([("id", pa.int64()), ("s", pa.float64())])
+    schema = pa.schema([("id", pa.int64()), ("s", pa.float64()), *to_arrow_schema(every.select(*carry).schema)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = column(b, "x").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(w))
-            yield pa.RecordBatch.from_arrays([column(b, "id"), pa.array(((x - mean) / scale) @ w, pa.float64())], schema=schema)
+            yield pa.RecordBatch.from_arrays([column(b, "id"), pa.array(((x - mean) / scale) @ w, pa.float64()), *(column(b, c) for c in carry)], schema=schema)
 
-    rank = materialise(every.select("id", "x").mapInArrow(run, "id bigint, s double"), "ranks")
-    seen = rank.join(known.select("id", "y").distinct(), "id")
+    ddl = ", ".join(["id bigint, s double", *(f"`{c}` {t}" for c, t in every.select(*carry).dtypes)])
+    rank = materialise(every.select("id", "x", *carry).mapInArrow(run, ddl), "ranks")
+    seen = rank.join(known, "id")
     share = seen.agg(F.avg(1 - F.col("y"))).first()[0]
     bar = seen.agg(F.percentile_approx("s", F.lit(float(share)), 100_000)).first()[0]
     above = seen.where(F.col("s") > bar).agg(F.min("s")).first()[0]
     bar = bar if above is None else (bar + above) / 2  # what lies at the quantile is below the threshold
-    return rank.select(F.col("id").alias(key), (1 / (1 + F.exp(-(F.col("s") - float(bar) + log(CUT / (1 - CUT)))))).alias("score"))
+    return rank.select(F.col("id").alias(key), (1 / (1 + F.exp(-(F.col("s") - float(bar) + log(CUT / (1 - CUT)))))).alias("score"), *carry)

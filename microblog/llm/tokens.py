@@ -4,7 +4,9 @@ Every distinct word of a block is encoded once. A plain byte-level file (its
 merges in the order of their ids) is replayed by ``bpe.MergeReplay``, several
 times as fast as the library on single words; for any other file the library
 itself is asked, with words joined by line ends (a line end is a match and an
-id of its own) and the ids cut there again.
+id of its own) and the ids cut there again. Texts that hold one of the file's
+added tokens go to the library whole, which takes those first; a caller that
+wants them as plain text says so.
 """
 
 from __future__ import annotations
@@ -93,14 +95,37 @@ def replay_of(data: str) -> MergeReplay | None:
     return MergeReplay(byte_id, {(vocab[a] << _BITS) | vocab[b]: r for (a, b), r in zip(merges, result)})
 
 
+class LibraryTexts:
+    """Whole texts to the bytes of their ids: texts with an added token by the
+    library's own rules, the others by ``plain``."""
+
+    def __init__(self, data: str, plain: PieceEncoder):
+        self._added = [t["content"] for t in json.loads(data).get("added_tokens") or () if t["content"]]
+        self._data, self._plain, self._tok = data, plain, None
+
+    def _ids(self, text: str) -> bytes:
+        if self._tok is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+            from tokenizers import Tokenizer
+
+            self._tok = Tokenizer.from_str(self._data)
+        return np.array(self._tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def __call__(self, texts: Sequence[str]) -> list[bytes]:
+        odd = {i for i, t in enumerate(texts) if any(a in t for a in self._added)}
+        rest = iter(self._plain([t for i, t in enumerate(texts) if i not in odd]) if len(odd) < len(texts) else ())
+        return [self._ids(t) if i in odd else next(rest) for i, t in enumerate(texts)]
+
+
 _encoders: dict[tuple[str, str], PieceEncoder] = {}
 
 
-def encoder(data: str, pattern: str) -> PieceEncoder:
-    """One encoder per worker and tokenizer file."""
+def encoder(data: str, pattern: str, added: bool = False) -> PieceEncoder | LibraryTexts:
+    """One encoder per worker and tokenizer file. ``added``: the file's added
+    tokens have their ids; without, they are text like any other."""
     key = (hashlib.sha256(data.encode()).hexdigest(), pattern)
     if key not in _encoders:
         _encoders.clear()
         replay = replay_of(data)
         _encoders[key] = PieceEncoder(pattern, (lambda words: replay([w.encode() for w in words])) if replay else LibraryWords(data))
-    return _encoders[key]
+    return LibraryTexts(data, _encoders[key]) if added else _encoders[key]

@@ -19,12 +19,14 @@ Definitions: null and empty texts have no window and score 0; a text shorter
 than a window is one window of its own length. Rows with a null id are scored,
 not learnt from, as are texts without a label or with a null one; a text with
 several labels counts as its largest; without labels of both kinds every score
-is 0. Other columns are not read.
+is 0. Rows that share an id are scored each, and of their texts one is learnt
+from. Words of any length are read whole. Other columns are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,7 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import blocks, column, materialise, spread, texts_of
 
@@ -62,9 +65,8 @@ class Words(dict):
         self[word] = n = len(self)
         return n
 
-    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of every word: its embedding row, the rows of its character n-grams
-        (one after the other) and how many those are."""
+    def rows(self) -> WordRows:
+        """What the network knows of every word."""
         low = ["<" + (w.strip(_MARKS) or w) + ">" for w in self]
         size = np.fromiter(map(len, low), dtype=np.int64, count=len(low))
         word = np.fromiter((xxhash.xxh32_intdigest(w.encode()) for w in low), dtype=np.int64, count=len(low)) % WORD_ROWS
@@ -80,9 +82,27 @@ class Words(dict):
             fits = np.flatnonzero(left[:len(h)] >= n)
             owner.append(of[fits])
             rows.append(h[fits] % CHAR_ROWS)
-        owner, rows = np.concatenate(owner), np.concatenate(rows).astype(np.int64)
-        order = np.argsort(owner, kind="stable")
-        return word, rows[order], np.bincount(owner, minlength=len(low))
+        key, times = np.unique(np.concatenate(owner) * CHAR_ROWS + np.concatenate(rows).astype(np.int64), return_counts=True)
+        owner = key // CHAR_ROWS
+        total = np.bincount(owner, weights=times, minlength=len(low))
+        return WordRows(word, key % CHAR_ROWS, np.bincount(owner, minlength=len(low)), (times / np.sqrt(total[owner])).astype(np.float32))
+
+
+class WordRows(NamedTuple):
+    """Of every word: its embedding row, the distinct rows of its character
+    n-grams (one word after the other), how many those are, and the weight of
+    each: how often it occurs, over the root of the number of n-grams."""
+
+    word: np.ndarray
+    grams: np.ndarray
+    size: np.ndarray
+    weight: np.ndarray
+
+    def of(self, own: np.ndarray) -> WordRows:
+        """The rows of some of the words."""
+        first, size = np.cumsum(self.size) - self.size, self.size[own]
+        at = np.repeat(first[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return WordRows(self.word[own], self.grams[at], size, self.weight[at])
 
 
 def window_starts(n: int) -> list[int]:
@@ -122,12 +142,12 @@ class Network:
             self.p |= {"W" + d: some(2 * DIM, 3 * HIDDEN), "U" + d: some(HIDDEN, 3 * HIDDEN), "c" + d: np.zeros(3 * HIDDEN, np.float32)}
         self.p |= {"A": some(2 * HIDDEN, HIDDEN), "v": some(HIDDEN), "o": some(2 * HIDDEN), "b": np.zeros(1, np.float32)}
 
-    def inputs(self, row: np.ndarray, grams: np.ndarray, size: np.ndarray) -> np.ndarray:
+    def inputs(self, rows: WordRows) -> np.ndarray:
         """Input vectors of words, a zero one at the end (for number -1)."""
-        out = np.zeros((len(row) + 1, 2 * DIM), np.float32)
-        if len(row):
-            out[:-1, :DIM] = self.p["word"][row]
-            out[:-1, DIM:] = np.add.reduceat(self.p["char"][grams], np.cumsum(size) - size) / np.sqrt(size[:, None])
+        out = np.zeros((len(rows.word) + 1, 2 * DIM), np.float32)
+        if len(rows.word):
+            out[:-1, :DIM] = self.p["word"][rows.word]
+            out[:-1, DIM:] = np.add.reduceat(self.p["char"][rows.grams] * rows.weight[:, None], np.cumsum(rows.size) - rows.size)
         return out
 
     def _direction(self, d: str, gates: np.ndarray, at: np.ndarray, real: np.ndarray, keep: list | None):
@@ -167,16 +187,12 @@ class Network:
             out.append(self._pool(states, real)[3])
         return np.concatenate(out)
 
-    def gradients(self, rows: tuple, wins: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
+    def gradients(self, rows: WordRows, wins: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
         """Of the weighted logistic loss over a batch of windows."""
         used, at = np.unique(wins, return_inverse=True)
         at = at.reshape(wins.shape).T - (used[0] < 0)  # -1 stays -1
-        own = used[used >= 0]
-        word, grams, size = rows
-        first = np.cumsum(size) - size
-        word, size, first = word[own], size[own], first[own]
-        grams = grams[np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())]
-        x, real, g = self.inputs(word, grams, size), at >= 0, {}
+        rows = rows.of(used[used >= 0])
+        x, real, g = self.inputs(rows), at >= 0, {}
         kept: dict[str, list] = {"f": [], "b": []}
         states = np.concatenate([self._direction(d, x @ self.p["W" + d] + self.p["c" + d], at, real, kept[d]) for d in "fb"], axis=2)
         a, alpha, pooled, logit = self._pool(states, real)
@@ -209,11 +225,21 @@ class Network:
             g["U" + d], g["W" + d], g["c" + d] = dU, x.T @ dgates, dgates.sum(axis=0)
             dx += dgates @ self.p["W" + d].T
         g["word"], g["char"] = np.zeros_like(self.p["word"]), np.zeros_like(self.p["char"])
-        np.add.at(g["word"], word, dx[:-1, :DIM])
-        np.add.at(g["char"], grams, np.repeat(dx[:-1, DIM:] / np.sqrt(size[:, None]), size, axis=0))
+        np.add.at(g["word"], rows.word, dx[:-1, :DIM])
+        np.add.at(g["char"], rows.grams, np.repeat(dx[:-1, DIM:], rows.size, axis=0) * rows.weight[:, None])
         return g
 
 
+class Sample(NamedTuple):
+    """Windows to learn from: the label of each text, which text each window is
+    of (ascending), the windows as word numbers, and those words' rows."""
+
+    label: np.ndarray
+    owner: np.ndarray
+    wins: np.ndarray
+    rows: WordRows
+
+
 class Trainer:
     """Adam on a network; ``fit`` is called with the windows of each phase."""
 
@@ -222,27 +248,25 @@ class Trainer:
         self.m = {k: np.zeros_like(v) for k, v in self.net.p.items()}
         self.s = {k: np.zeros_like(v) for k, v in self.net.p.items()}
 
-    def fit(self, texts: Sequence[tuple[int, list[list[str]]]], first: float, last: float, epochs: int = EPOCHS, batch: int = 256, rate: float = 0.01) -> None:
-        """The epochs from share ``first`` to ``last`` of all; ``texts``: label
-        and windows (as words) of each."""
-        words, net, m, s = Words(), self.net, self.m, self.s
-        wins = np.array([[words[w] for w in win] + [-1] * (WINDOW - len(win)) for _, ws in texts for win in ws])
-        label = np.array([y for y, ws in texts for _ in ws], dtype=np.float32)
-        owner = np.array([i for i, (_, ws) in enumerate(texts) for _ in ws])
+    def fit(self, sample: Sample, first: float, last: float, epochs: int = EPOCHS, batch: int = 256, rate: float = 0.01) -> None:
+        """The epochs from share ``first`` to ``last`` of all."""
+        net, m, s = self.net, self.m, self.s
+        owner, wins, known = sample.owner, sample.wins, sample.rows
+        label = sample.label[owner].astype(np.float32)
         starts = np.flatnonzero(np.diff(owner, prepend=-1))
-        known = words.rows()
-        rows = np.append(known[0], -1)[wins]
-        seen = np.unique(np.stack([np.repeat(owner, WINDOW), rows.ravel()]), axis=1)
-        own_row = np.bincount(seen[1][seen[1] >= 0], minlength=WORD_ROWS) >= MIN_TEXTS
+        row = np.append(known.word, WORD_ROWS)[wins]  # -1, what fills up, is a row of its own
+        seen = np.unique(np.repeat(owner, WINDOW) * (WORD_ROWS + 1) + row.ravel())
+        own_row = np.bincount(seen % (WORD_ROWS + 1), minlength=WORD_ROWS + 1)[:WORD_ROWS] >= MIN_TEXTS
+        del row, seen
         epochs = max(epochs, -(-LEAST_STEPS // max(1, -(-len(wins) // batch))))  # few windows are seen more often
         for epoch in range(epochs):
             if not first * epochs <= epoch < last * epochs:
                 continue
             use = np.ones(len(wins), dtype=bool)
             if epoch >= epochs * EVEN:  # a toxic text's windows that look clean beside its worst one prove nothing
-                now = net.logits(net.inputs(*known), wins)
+                now = net.logits(net.inputs(known), wins)
                 worst = np.maximum.reduceat(now, starts)
-                use = (label == 0) | (now >= np.minimum(worst[owner], 1.0))
+                use = (label == 0) | (now >= np.minimum(np.repeat(worst, np.diff(np.append(starts, len(wins)))), 1.0))
             at = self.rng.permutation(np.flatnonzero(use))
             balance = np.where(label == 1, (label[at] == 0).sum() / max(1, (label[at] == 1).sum()), 1.0).clip(0.2, 4)
             for i in range(0, len(at), batch):
@@ -274,42 +298,65 @@ def _logits(net: Network, texts: list[list[str]]) -> list[np.ndarray]:
     """The logits of all windows of each text."""
     words = Words()
     own = [windows(np.fromiter(map(words.__getitem__, t), dtype=np.int32, count=len(t))) for t in texts]
-    found = net.logits(net.inputs(*words.rows()), np.concatenate(own)).astype(np.float64)
+    found = net.logits(net.inputs(words.rows()), np.concatenate(own)).astype(np.float64)
     return np.split(found, np.cumsum([len(w) for w in own])[:-1])
 
 
 def _sampled(docs: DataFrame, labels: DataFrame, learn: Column, label: str, key: str, text: str, sample: int):
-    """The texts to learn from (y, aside, text), whose number the parameter
-    bounds, and how many labelled texts there are by label."""
+    """The texts to learn from (y, aside, text, print), whose number the
+    parameter bounds, and how many labelled texts there are by label. Of rows
+    that share an id the text with the smallest hash is taken."""
     known = labels.where(learn & F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).cast("int").alias("y"))
     known = known.join(docs.select(key).distinct(), key, "left_semi")
     there = {r.y: r.n for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     few = known.where("y = 1").orderBy(F.xxhash64(key), key).limit(sample).union(known.where("y = 0").orderBy(F.xxhash64(key), key).limit(sample))
     few = few.withColumn("turn", F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64(key), key)))
     rows = docs.where(F.col(key).isNotNull()).select(key, text).join(F.broadcast(few), key)
+    rows = rows.groupBy(key, "y", "turn").agg(F.min(F.struct(F.xxhash64(text).alias("print"), F.col(text).alias("text"))).alias("one"))
     aside = F.col("turn") % 4 == 0  # of either label; sets the bias, trains nothing
-    return materialise(rows.select("y", aside.alias("aside"), F.col(text).alias("text")), "sample"), there
+    return materialise(rows.select("y", aside.alias("aside"), "one.text", "one.print"), "sample"), there
 
 
-def _picked(rows: DataFrame, net: Broadcast | None, shift: float = 0.0) -> list[tuple[int, list[list[str]]]]:
-    """Label and windows of each text: some evenly spread, ``shift`` steps on,
-    and, given a network, the worst of all."""
-    schema = pa.schema([("y", pa.int32()), ("windows", pa.list_(pa.list_(pa.string())))])
+def _picked(rows: DataFrame, net: Broadcast | None, shift: float = 0.0) -> Sample:
+    """Windows of each text: some evenly spread, ``shift`` steps on, and, given a
+    network, the worst of all. Tasks send numbers, no words: the windows of a
+    block as numbers of its words, and of each word its hash and its rows."""
+    names = ("y", "print", "count", "wins", "hash", "word", "grams", "size", "weight")
+    types = dict(zip(names, (np.int32, np.int64, np.int32, np.int32, np.uint64, np.int32, np.int32, np.int32, np.float32)))
+    schema = pa.schema([(c, pa.binary()) for c in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, "text"):
-            out, texts = [], [t.lower().split() for t in texts_of(b)]
+            texts = [t.lower().split() for t in texts_of(b)]
             logits = _logits(net.value, texts) if net else [np.empty(0)] * len(texts)
+            words, wins, count = Words(), [np.empty((0, WINDOW), np.int32)], []
             for own, z in zip(texts, logits):
                 starts = window_starts(len(own))
                 even = min(PER_TEXT, len(starts))
                 pick = {int((i + shift) * len(starts) / even) for i in range(even)}
                 pick |= set(np.argsort(-z, kind="stable")[:PER_TEXT].tolist())
-                out.append([[w[:64] for w in own[starts[i]:starts[i] + WINDOW]] for i in sorted(pick)])
-            yield pa.RecordBatch.from_arrays([column(b, "y").cast(pa.int32()), pa.array(out, pa.list_(pa.list_(pa.string())))], schema=schema)
-
-    got = rows.mapInArrow(run, "y int, windows array<array<string>>").collect()
-    return sorted((r.y, r.windows) for r in got if r.windows)
+                for i in sorted(pick):
+                    win = own[starts[i]:starts[i] + WINDOW]
+                    wins.append(np.array([[*map(words.__getitem__, win), *[-1] * (WINDOW - len(win))]], np.int32))
+                count.append(len(pick))
+            known = words.rows()
+            values = (column(b, "y").to_numpy(), column(b, "print").to_numpy(), count, np.concatenate(wins), [xxhash.xxh3_64_intdigest(w.encode()) for w in words], *known)
+            yield pa.RecordBatch.from_arrays([pa.array([np.asarray(x).astype(types[c]).tobytes()], pa.binary()) for c, x in zip(names, values)], schema=schema)
+
+    got = rows.mapInArrow(run, ", ".join(f"{c} binary" for c in names)).collect()  # bounded by the sample's texts
+    parts = {c: [np.frombuffer(r[c], types[c]) for r in got] for c in names}
+    del got
+    base = np.cumsum([0] + [len(x) for x in parts["hash"]])
+    wins = [np.where(w >= 0, w + n, -1) for w, n in zip(parts["wins"], base)]
+    whole = {c: np.concatenate(x) if x else np.empty(0, types[c]) for c, x in (parts | {"wins": wins}).items()}
+    _, first, number = np.unique(whole["hash"], return_index=True, return_inverse=True)  # words of several tasks are one
+    known = WordRows(whole["word"].astype(np.int64), whole["grams"].astype(np.int64), whole["size"].astype(np.int64), whole["weight"]).of(first)
+    wins = np.append(number, -1)[whole["wins"].reshape(-1, WINDOW)]
+    order = np.lexsort((whole["print"], whole["y"]))  # the same whatever task had which text
+    order = order[whole["count"][order] > 0]
+    starts, count = np.cumsum(whole["count"]) - whole["count"], whole["count"][order]
+    at = np.repeat(starts[order] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+    return Sample(whole["y"][order], np.repeat(np.arange(len(order)), count), wins[at], known)
 
 
 def _worst(rows: DataFrame, net: Broadcast) -> list[tuple[int, float]]:
@@ -328,15 +375,14 @@ def learnt(rows: DataFrame, there: dict[int, int]) -> Network | None:
     """The network trained on a sample; none without texts of both labels."""
     context = rows.sparkSession.sparkContext
     inside, aside = spread(rows.where("not aside")), spread(rows.where("aside"))
-    some = _picked(inside, None)
-    if len({y for y, _ in some}) < 2:
-        return None
     trainer = Trainer()
     for phase in range(PHASES):
-        if phase:
-            shift = phase / PHASES
-            some = _picked(inside, None if shift < EVEN else context.broadcast(trainer.net), shift)
-        trainer.fit(some, phase / PHASES, (phase + 1) / PHASES)
+        shift, sample = phase / PHASES, None  # the last phase's windows go before the next ones come
+        sample = _picked(inside, None if shift < EVEN else context.broadcast(trainer.net), shift)
+        if len(set(sample.label.tolist())) < 2:
+            return None
+        trainer.fit(sample, shift, (phase + 1) / PHASES)
+    del sample
     worst = _worst(aside, context.broadcast(trainer.net))
     taken = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     weights = tuple(there[y] / taken[y] for y in (0, 1))
@@ -344,19 +390,22 @@ def learnt(rows: DataFrame, there: dict[int, int]) -> Network | None:
     return trainer.net
 
 
-def scored(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """(key, score): the score of the worst window, toxic from 0.5 on.
-    ``learn``: which ids of ``labels`` may be learnt from."""
+def scored(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", key: str = "doc_id", text: str = "text", sample: int = SAMPLE, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(key, score) and the columns ``carry`` of every row: the score of the
+    worst window, toxic from 0.5 on. ``learn``: which ids of ``labels`` may be
+    learnt from."""
     found = learnt(*_sampled(docs, labels, learn, label, key, text, sample))
     if found is None:
-        return docs.select(F.col(key).cast("bigint").alias(key), F.lit(0.0).alias("score"))
+        return docs.select(F.col(key).cast("bigint").alias(key), F.lit(0.0).alias("score"), *carry)
     net = docs.sparkSession.sparkContext.broadcast(found)  # its size is that of the parameters
-    schema = pa.schema([(key, pa.int64()), ("score", pa.float64())])
+    more = docs.select(*carry)
+    schema = pa.schema([(key, pa.int64()), ("score", pa.float64()), *to_arrow_schema(more.schema)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, text):
             logits = _logits(net.value, [t.lower().split() for t in texts_of(b, text)])
             score = np.array([_sigmoid(z.max()) if len(z) else 0.0 for z in logits])
-            yield pa.RecordBatch.from_arrays([column(b, key).cast(pa.int64()), pa.array(score, pa.float64())], schema=schema)
+            yield pa.RecordBatch.from_arrays([column(b, key).cast(pa.int64()), pa.array(score, pa.float64()), *(column(b, c) for c in carry)], schema=schema)
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` bigint, score double")
+    ddl = ", ".join([f"`{key}` bigint, score double", *(f"`{c}` {t}" for c, t in more.dtypes)])
+    return docs.select(*dict.fromkeys([key, text, *carry])).mapInArrow(run, ddl)

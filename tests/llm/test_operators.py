@@ -76,11 +76,12 @@ def test_merge_replay_orders_merges_like_the_greedy_rule():
         assert np.frombuffer(got, "<u4").tolist() == replay._alone(w)
 
 
-def library(texts):
+def library(texts, plain=True):
+    """``plain``: added tokens are text like any other."""
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
+    tok.encode_special_tokens = plain
     return [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -101,13 +102,24 @@ def test_packing_cuts_whole_documents_into_powers_of_two(docs, none):
     by = collections.defaultdict(list)
     for r in sorted(out, key=lambda r: r.sequence_id):
         by[r.doc_id].append(r)
-    for i, ids in zip((i for i, _ in texts_of(docs)), library([t for _, t in texts_of(docs)])):
+    for i, ids in zip((i for i, _ in texts_of(docs)), library([t for _, t in texts_of(docs)], plain=False)):
         if i != 3:  # two rows have this id
             assert [x for r in by[i] for x in r.ids] == ids + [0] and {r.doc_tokens for r in by[i]} == {len(ids) + 1}
     assert packing.piece_lengths(2500) == [1024, 1024, 256, 128, 64, 4] and packing.piece_lengths(0) == []
     assert packing.pack(none, P.path("byte_bpe_50k.json"), P.PATTERN).count() == 0
 
 
+def test_packing_takes_added_tokens_as_the_library_does(spark):
+    prepare(spark)
+    texts = ["hi <|endoftext|> x", "<|endoftext|>", "<|endoftext|><|endoftext|>", "a<|endoftext|>b  <|endoftext|>\n", "<|endoftext|", "plain text"]
+    frame = spark.createDataFrame([doc(i, t) for i, t in enumerate(texts)], DOCS)
+    got = collections.defaultdict(list)
+    for r in sorted(packing.pack(frame, P.path("byte_bpe_50k.json"), P.PATTERN).collect(), key=lambda r: (r.doc_id, r.start)):
+        got[r.doc_id] += r.ids
+    assert [got[i] for i in range(len(texts))] == [x + [0] for x in library(texts, plain=False)]
+    assert got[0] == [5303, 220, 50256, 2124, 0]
+
+
 def test_packing_writes_a_folder_per_length(docs, spark, tmp_path):
     packing.write_buckets(packing.pack(docs, P.path("byte_bpe_50k.json"), P.PATTERN), str(tmp_path / "b"))
     back = spark.read.parquet(str(tmp_path / "b"))
@@ -234,13 +246,73 @@ def test_windows_cover_every_word():
         assert set(wins.ravel().tolist()) - {-1} == set(range(n))
 
 
+def test_network_equals_a_plain_loop():
+    """One unit, one word and one step at a time, from the definition."""
+    words, net = toxicity.Words(), toxicity.Network(5)
+    rng = np.random.default_rng(1)
+    net.p = {k: rng.standard_normal(v.shape).astype(np.float32) * 0.3 for k, v in net.p.items()}
+    texts = [sentence(i, n).split() + ["x" * 300] for i, n in ((1, 7), (2, 63), (3, 1))]
+    wins = np.concatenate([toxicity.windows(np.array([words[w] for w in t])) for t in texts])
+    got = net.logits(net.inputs(words.rows()), wins)
+    p, H = {k: v.astype(np.float64) for k, v in net.p.items()}, toxicity.HIDDEN
+    sig = lambda x: 1 / (1 + math.exp(-x))
+
+    def gram_row(gram):
+        h = len(gram)
+        for c in gram:
+            h = ((h ^ ord(c)) * 0x9E3779B1) % 2**32
+            h ^= h >> 15
+        return h % toxicity.CHAR_ROWS
+
+    def vector(word):
+        low = "<" + (word.strip(toxicity._MARKS) or word) + ">"
+        grams = [low[i:i + n] for n in toxicity.GRAMS for i in range(len(low) - n + 1)]
+        chars = sum(p["char"][gram_row(g)] for g in grams) / math.sqrt(len(grams))
+        return [*p["word"][__import__("xxhash").xxh32_intdigest(low.encode()) % toxicity.WORD_ROWS], *chars]
+
+    def states(d, xs):
+        h, out = [0.0] * H, []
+        for x in xs if d == "f" else xs[::-1]:
+            gate = [sum(a * w for a, w in zip(x, p["W" + d][:, j])) + p["c" + d][j] for j in range(3 * H)]
+            back = [sum(a * w for a, w in zip(h, p["U" + d][:, j])) for j in range(3 * H)]
+            z, r = ([sig(gate[j + o] + back[j + o]) for j in range(H)] for o in (0, H))
+            n = [math.tanh(gate[j + 2 * H] + r[j] * back[j + 2 * H]) for j in range(H)]
+            h = [(1 - z[j]) * n[j] + z[j] * h[j] for j in range(H)]
+            out.append(h)
+        return out if d == "f" else out[::-1]
+
+    for text, z in zip(texts, got):
+        for start in toxicity.window_starts(len(text)):
+            xs = [vector(w) for w in text[start:start + toxicity.WINDOW]]
+            both = [f + b for f, b in zip(states("f", xs), states("b", xs))]
+            e = [math.exp(sum(math.tanh(sum(s * a for s, a in zip(st, p["A"][:, j]))) * p["v"][j] for j in range(H))) for st in both]
+            pooled = [sum(w * st[j] for w, st in zip(e, both)) / sum(e) for j in range(2 * H)]
+            want = sum(x * o for x, o in zip(pooled, p["o"])) + p["b"][0]
+            assert abs(z - want) < 1e-3
+
+
+def test_toxicity_sample_is_bounded_by_rows_and_words_are_whole(spark):
+    prepare(spark)
+    long = "harmless" * 40
+    rows = [(1, f"text number {i}") for i in range(500)] + [(i, sentence(i, 20) + " " + long + ("vile" if i % 2 else "mild")) for i in range(2, 120)]
+    frame = spark.createDataFrame([doc(*r) for r in rows], DOCS)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 120)], "doc_id BIGINT, toxic INT")
+    sampled, there = toxicity._sampled(frame, labels, F.lit(True), "toxic", "doc_id", "text", 30)
+    assert sampled.count() == 60 and there == {0: 59, 1: 60}
+    a, b = toxicity.Words(), toxicity.Words()
+    a[long + "vile"], b[long + "mild"]
+    assert a.rows().word[0] != b.rows().word[0] and set(a.rows().grams) != set(b.rows().grams)
+    out = toxicity.scored(frame, labels, F.lit(True)).where("doc_id > 1").collect()
+    assert np.mean([(r.score >= 0.5) == bool(r.doc_id % 2) for r in out]) > 0.9  # by a word's last letters alone
+
+
 def test_network_gradients_equal_finite_differences():
     words, net = toxicity.Words(), toxicity.Network(3)
     wins = np.array([[words[w] for w in sentence(i, toxicity.WINDOW - 5).split()] + [-1] * 5 for i in range(3)])
     y, weight, known = np.array([1, 0, 1], np.float32), np.ones(3, np.float32), words.rows()
 
     def loss():
-        z = net.logits(net.inputs(*known), wins).astype(np.float64)
+        z = net.logits(net.inputs(known), wins).astype(np.float64)
         return np.mean(np.log1p(np.exp(-np.where(y == 1, z, -z))))
 
     for k, g in net.gradients(known, wins, y, weight).items():
@@ -409,9 +481,38 @@ def test_pipeline_stages_keep_columns_and_drop_rows(spark, tmp_path):
     assert not any(i is not None and 1000 <= i < 1005 for i in single) and len(single) == len(set(single))
     out = pipe.run(spark, str(tmp_path)).toPandas()
     assert set(out.doc_id.dropna().astype(int)) == {i for i in single if i is not None}
+    assert (out.ids.map(len) == out.length).all()
     assert (out.groupby(out.doc_id.fillna(-1)).length.sum() == out.groupby(out.doc_id.fillna(-1)).doc_tokens.first()).all()
 
 
+def test_pipeline_judges_rows_not_ids(spark, tmp_path):
+    """Of rows that share an id, or have none, the bad and the toxic ones go;
+    texts may be empty or very long; columns may be more than those of
+    documents; empty tables stay empty."""
+    import corpus_pipeline as pipe
+
+    prepare(spark)
+    bad, vile = (lambda t: t.replace(" ", "$$$ ")), (lambda t: t.replace(" ", " vileword ", 4))
+    rows = [(i, [bad, vile, str][i % 3](sentence(i, 60)), "en", "s", 1, "score") for i in range(180)]
+    two = [(i, sentence(500 + i, 60)) for i in (0, 1, 2)] + [(2, bad(sentence(700, 60))), (2, vile(sentence(701, 60)))]
+    none = [(None, sentence(800, 60)), (None, bad(sentence(801, 60))), (None, vile(sentence(802, 60)))]
+    rows += [(i, t, "en", "s", 1, "score") for i, t in [*two, *none, (900, sentence(9, 30_000))]]
+    ddl = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT, score STRING"
+    labels = spark.createDataFrame([(i, int(i % 3 != 0), int(i % 3 == 1)) for i in range(3, 180)], "doc_id BIGINT, quality INT, toxic INT")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.createDataFrame(rows, ddl)
+    good = pipe.keep_quality(spark, docs, str(tmp_path))
+    mild = pipe.drop_toxic(spark, good, str(tmp_path))
+    assert good.columns == mild.columns == list(pipe.COLUMNS)
+    left = {(r.doc_id, r.text) for r in mild.collect()}
+    assert left >= {(0, two[0][1]), (1, two[1][1]), (2, two[2][1]), none[0]}  # the long text is unlike all that was learnt from
+    assert not left & {two[3], two[4], none[1], none[2], (0, rows[0][1]), (1, rows[1][1])}
+    empty = docs.limit(0)
+    for _, stage in pipe.STAGES:
+        empty = stage(spark, empty, str(tmp_path))
+        assert empty.count() == 0
+
+
 def test_entry_registers_all_operators():
     import __spark_entry__ as E
 
