@@ -10,10 +10,11 @@ as Parquet and read again:
 4. ``packing`` (power-of-two decomposition): a row per sequence.
 
 All but the last return the columns of ``documents``. Labels are learnt from
-where crc32(doc_id) mod 5 is not 0. Definitions: rows with a null id are judged
-like others and never count as duplicates; rows that share an id are kept
-together, unless the near-duplicate stage finds their id to be another's copy,
-and then go together; a stage on an empty table returns an empty one.
+where crc32(doc_id) mod 5 is not 0. Definitions: the first two stages judge every
+row by its own text, whatever its id; rows with a null id never count as
+duplicates; rows that share an id are one document to the near-duplicate stage
+and stay or go together; a stage on an empty table returns an empty one. Packed
+sequences have their ids.
 """
 
 from __future__ import annotations
@@ -30,38 +31,35 @@ from microblog.llm.queries import BYTE_BPE
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _keep(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The documents whose id is in ``kept`` (doc_id); null ids match null."""
-    ids = kept.select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.select(*COLUMNS).join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-
-
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score reaches the threshold. Of rows that share
-    an id (or have none) all stay if one does."""
+    """Documents whose quality score reaches the threshold. The score goes by
+    the text, so rows are matched by id and the text's digest."""
     prepare(spark)
-    scores = quality.scored(docs, read_table(spark, sf_dir, "labels"), fold(F.col("doc_id")) != 0)
-    return _keep(docs, scores.where(F.col("score") >= quality.CUT))
+    docs = docs.select(*COLUMNS).withColumn("print", F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("")))
+    scores = quality.scored(docs, read_table(spark, sf_dir, "labels"), fold(F.col("doc_id")) != 0, carry=("print",))
+    good = scores.where(F.col("score") >= quality.CUT).select(F.col("doc_id").alias("good_id"), F.col("print").alias("good")).distinct()
+    return docs.join(good, F.col("doc_id").eqNullSafe(F.col("good_id")) & (F.col("print") == F.col("good")), "left_semi").drop("print")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a toxic window. Of rows that share an id (or have
-    none) all stay if one does."""
+    """Documents without a toxic window; every row is scored as it passes."""
     prepare(spark)
-    scores = toxicity.scored(docs, read_table(spark, sf_dir, "labels"), fold(F.col("doc_id")) != 0)
-    return _keep(docs, scores.where(F.col("score") < toxicity.CUT))
+    rest = COLUMNS[1:]
+    scores = toxicity.scored(docs, read_table(spark, sf_dir, "labels"), fold(F.col("doc_id")) != 0, carry=rest)
+    return scores.where(F.col("score") < toxicity.CUT).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates; rows without an id stay."""
     prepare(spark)
-    return _keep(docs, neardup.near_duplicates(docs).where("kept"))
+    gone = neardup.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's ids as sequences of binary lengths, 1024 at most."""
     prepare(spark)
-    return packing.pack(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN, with_ids=False)
+    return packing.pack(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
 
 STAGES = [("quality", keep_quality), ("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates), ("packing", pack)]
