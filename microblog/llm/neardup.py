@@ -36,14 +36,16 @@ Other columns are not read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import scratch_path
 from .common import blocks, column, materialise, texts_of
 
 WORDS = 5
@@ -127,21 +129,44 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _estimate(k: int) -> Column:
     """Share of the union sketch's values that both sketches hold."""
-    union = F.slice(F.sort_array(F.array_union("xa", "xb")), 1, k)
-    return F.size(F.array_intersect(union, F.array_intersect("xa", "xb"))) / F.size(union)
+    union = F.slice(F.sort_array(F.array_union("items", "others")), 1, k)
+    return F.size(F.array_intersect(union, F.array_intersect("items", "others"))) / F.size(union)
 
 
 def _empty(df: DataFrame) -> bool:
     return not df.limit(1).count()
 
 
+class _Store:
+    """Rows with a group number g, written in buckets of it, as many as there
+    are shuffle partitions: joins by g shuffle only what they are joined with.
+    The table is one of the session's catalog until ``close``; its files lie in
+    the shared folder."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path = spark, scratch_path(spark, name)
+        self.name, self.buckets = f"{name}_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.empty = True
+
+    def add(self, rows: DataFrame) -> None:
+        out = rows.repartition(self.buckets, "g").write.mode("append").bucketBy(self.buckets, "g").sortBy("g")
+        out.format("parquet").option("path", self.path).saveAsTable(self.name)
+        self.empty = False
+
+    def rows(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def close(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
 class _Links:
     """The groups, how they are linked so far, and the tests on pairs of them."""
 
-    def __init__(self, docs: DataFrame, groups: DataFrame, words: int, percent: int, k: int, key: str, text: str):
+    def __init__(self, docs: DataFrame, groups: _Store, words: int, percent: int, k: int, key: str, text: str):
         self.docs, self.groups, self.words, self.percent, self.k, self.key, self.text = docs, groups, words, percent, k, key, text
         self.labels: DataFrame | None = None
-        self.sets: DataFrame | None = None
+        self.sets = _Store(docs.sparkSession, "sets")
 
     def labelled(self, rows: DataFrame, node: str, name: str) -> DataFrame:
         if self.labels is None:
@@ -173,38 +198,50 @@ class _Links:
             return pairs
         return self.labelled(self.labelled(pairs, "a", "ca"), "b", "cb").where("ca <> cb").drop("ca", "cb")
 
+    def met(self, pairs: DataFrame, store: _Store) -> DataFrame:
+        """(a, b, n, items, m, others): the pairs with both groups' rows. What
+        a pair's group in fewer pairs holds goes to the other one, once; a group
+        with more than BLOCK pairs is dealt to several tasks, with its row."""
+        degree = pairs.select(F.explode(F.array("a", "b")).alias("g")).groupBy("g").agg(F.count("*").alias("d"))
+        turned = pairs.join(degree.select(F.col("g").alias("a"), F.col("d").alias("da")), "a").join(degree.select(F.col("g").alias("b"), F.col("d").alias("db")), "b")
+        fewer = F.col("da") <= F.col("db")
+        turned = materialise(turned.select(F.when(fewer, F.col("a")).otherwise(F.col("b")).alias("g"), F.when(fewer, F.col("b")).otherwise(F.col("a")).alias("h"),
+                                           F.ceil(F.greatest("da", "db") / BLOCK).cast("int").alias("parts")), "turned")
+        sent = turned.join(store.rows().select("g", "n", "items"), "g")
+        other = store.rows().select(F.col("g").alias("h"), F.col("n").alias("m"), F.col("items").alias("others"))
+        one = sent.where("parts = 1").join(other, "h").select("g", "h", "n", "items", "m", "others")
+        crowds = turned.where("parts > 1").select("h", "parts").distinct()
+        if _empty(crowds):
+            return one
+        dealt = sent.where("parts > 1").withColumn("part", F.expr("cast(pmod(xxhash64(g), parts) as int)"))
+        held = crowds.join(other, "h").withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).drop("parts")
+        return one.unionByName(dealt.join(held, ["h", "part"]).select("g", "h", "n", "items", "m", "others"))
+
     def likely(self, pairs: DataFrame) -> DataFrame:
         """(a, b, est): the pairs that size and union sketch let through."""
-        g = self.groups
-        a = g.select(F.col("g").alias("a"), F.col("n").alias("na"), F.col("items").alias("xa"))
-        b = g.select(F.col("g").alias("b"), F.col("n").alias("nb"), F.col("items").alias("xb"))
-        whole = (F.col("na") <= self.k) & (F.col("nb") <= self.k)
-        both = (pairs.select("a", "b").join(a, "a").join(b, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent)
-                .withColumn("est", _estimate(self.k)))
-        margin = F.when(whole, F.lit(1e-6)).otherwise(F.lit(MARGIN))
-        return materialise(both.where(F.col("est") >= self.percent / 100 - margin).select("a", "b", "est"), "likely")
+        both = self.met(pairs.select("a", "b"), self.groups).where(F.least("n", "m") * 100 >= F.greatest("n", "m") * self.percent)
+        both = both.withColumn("est", _estimate(self.k))
+        margin = F.when((F.col("n") <= self.k) & (F.col("m") <= self.k), F.lit(1e-6)).otherwise(F.lit(MARGIN))
+        return materialise(both.where(F.col("est") >= self.percent / 100 - margin).select(*_ordered("g", "h"), "est"), "likely")
 
     def need(self, nodes: DataFrame) -> None:
         """Full sets of the groups ``nodes`` (g), each computed once, from the
         text of one document of the group."""
-        if self.sets is not None:
-            nodes = materialise(nodes.join(self.sets.select("g"), "g", "left_anti"), "nodes")
+        if not self.sets.empty:
+            nodes = materialise(nodes.join(self.sets.rows().select("g"), "g", "left_anti"), "nodes")
             if _empty(nodes):
                 return
-        wanted = materialise(self.groups.join(nodes, "g").select("g", F.col("rep").alias(self.key), F.col("print").alias("wanted")), "wanted")
+        wanted = materialise(self.groups.rows().join(nodes, "g").select("g", F.col("rep").alias(self.key), F.col("print").alias("wanted")), "wanted")
         rows = self.docs.select(self.key, self.text).join(wanted.select(self.key).distinct(), self.key, "left_semi")
         full = sketches(rows, self.words, self.k, self.key, self.text, full=True)
         found = full.join(wanted, (full["id"] == wanted[self.key]) & (full["print"] == wanted["wanted"]))
-        found = materialise(found.dropDuplicates(["g"]).select("g", "items"), "sets")
-        self.sets = found if self.sets is None else self.sets.union(found)
+        self.sets.add(found.dropDuplicates(["g"]).select("g", full["n"], "items"))
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """(a, b): the pairs whose full sets are similar enough."""
-        a = self.sets.select(F.col("g").alias("a"), F.col("items").alias("xa"))
-        b = self.sets.select(F.col("g").alias("b"), F.col("items").alias("xb"))
-        met = pairs.select("a", "b").join(a, "a").join(b, "b").withColumn("met", F.size(F.array_intersect("xa", "xb")))
-        united = F.size("xa") + F.size("xb") - F.col("met")
-        return materialise(met.where(F.col("met") * 100 >= united * self.percent).select("a", "b"), "links")
+        both = self.met(pairs.select("a", "b"), self.sets).withColumn("met", F.size(F.array_intersect("items", "others")))
+        united = F.col("n") + F.col("m") - F.col("met")
+        return materialise(both.where(F.col("met") * 100 >= united * self.percent).select(*_ordered("g", "h")), "links")
 
     def prefixes(self, nodes: DataFrame) -> DataFrame:
         """(v, g, n, at, size): of every group in ``nodes`` (g) the values that
@@ -212,7 +249,7 @@ class _Links:
         the value among theirs. Values that one group alone holds come first
         and meet nobody, so they are counted only."""
         self.need(nodes)
-        own = self.sets.join(nodes, "g", "left_semi")
+        own = self.sets.rows().join(nodes, "g", "left_semi")
         values = own.select("g", F.explode("items").alias("v"))
         common = materialise(values.groupBy("v").agg(F.count("*").alias("holders")).where("holders > 1"), "common")
         held = values.join(common, "v").groupBy("g").agg(F.sort_array(F.collect_list(F.struct("holders", "v"))).alias("held"))
@@ -249,9 +286,12 @@ def classes(docs: DataFrame, words: int = WORDS, percent: int = 75, k: int = K,
     the smallest id that its document reaches."""
     rows = materialise(sketches(docs, words, k, key, text), "sketches")
     some = rows.where("n > 0 and id is not null")
-    groups = materialise(some.groupBy("print").agg(F.min("id").alias("rep"), F.min("n").alias("n"), F.min("items").alias("items"))
-                         .withColumn("g", F.monotonically_increasing_id()), "groups")
-    links = _Links(docs, groups, words, percent, k, key, text)
+    numbered = materialise(some.groupBy("print").agg(F.min("id").alias("rep"), F.min("n").alias("n"), F.min("items").alias("items"))
+                           .withColumn("g", F.monotonically_increasing_id()), "numbered")
+    store = _Store(docs.sparkSession, "groups")
+    store.add(numbered)
+    groups = store.rows()
+    links = _Links(docs, store, words, percent, k, key, text)
 
     twice = materialise(some.groupBy("id").agg(F.min("print").alias("p"), F.max("print").alias("q")).where("p <> q").select("id"), "twice")
     if not _empty(twice):  # ids with several texts
@@ -321,7 +361,9 @@ def classes(docs: DataFrame, words: int = WORDS, percent: int = 75, k: int = K,
             links.test(pairs, best_first=True)
 
     # components of groups, by the smallest id of their documents
-    labels = links.labelled(groups.select("g", "rep", "print"), "g", "comp")
+    labels = links.labelled(numbered.select("g", "rep", "print"), "g", "comp")
+    store.close()
+    links.sets.close()
     least = labels.groupBy("comp").agg(F.min("rep").alias("component"))
     labels = labels.join(least, "comp").select("print", "component")
     linked = some.select("id", "n", "print").join(labels, "print").select("id", "n", "component")
