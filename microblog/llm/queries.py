@@ -116,7 +116,7 @@ WITH e AS (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[])
            WHERE {_FINITE} AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
      s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score,
                   row_number() OVER (PARTITION BY q.r ORDER BY list_inner_product(q.v, c.v) DESC, c.vec_id) AS rank
-           FROM e q JOIN e c ON q.r <> c.r WHERE q.vec_id % 20 = 0)
+           FROM e q JOIN e c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM s WHERE rank <= 20
 """
 
@@ -125,7 +125,7 @@ WITH e AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, l
            FROM embeddings WHERE {_FINITE}),
      s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score,
                   row_number() OVER (PARTITION BY q.r ORDER BY list_inner_product(q.v, c.v) DESC, c.vec_id) AS rank
-           FROM e q JOIN e c ON q.r <> c.r WHERE q.vec_id % 50 = 0)
+           FROM e q JOIN e c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM s WHERE rank <= 5
 """
 

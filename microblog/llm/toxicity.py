@@ -147,7 +147,11 @@ class Network:
         out = np.zeros((len(rows.word) + 1, 2 * DIM), np.float32)
         if len(rows.word):
             out[:-1, :DIM] = self.p["word"][rows.word]
-            out[:-1, DIM:] = np.add.reduceat(self.p["char"][rows.grams] * rows.weight[:, None], np.cumsum(rows.size) - rows.size)
+            ends = np.cumsum(rows.size)
+            for i in range(0, len(ends), _CHUNK):  # a word's n-grams take far more room than the word
+                first, size = ends[i] - rows.size[i], rows.size[i:i + _CHUNK]
+                own = slice(first, first + size.sum())
+                out[i:i + len(size), DIM:] = np.add.reduceat(self.p["char"][rows.grams[own]] * rows.weight[own, None], np.cumsum(size) - size)
         return out
 
     def _direction(self, d: str, gates: np.ndarray, at: np.ndarray, real: np.ndarray, keep: list | None):
@@ -322,7 +326,7 @@ def _picked(rows: DataFrame, net: Broadcast | None, shift: float = 0.0) -> Sampl
     network, the worst of all. Tasks send numbers, no words: the windows of a
     block as numbers of its words, and of each word its hash and its rows."""
     names = ("y", "print", "count", "wins", "hash", "word", "grams", "size", "weight")
-    types = dict(zip(names, (np.int32, np.int64, np.int32, np.int32, np.uint64, np.int32, np.int32, np.int32, np.float32)))
+    types = dict(zip(names, (np.int32, np.int64, np.int32, np.int32, np.uint64, np.int32, np.uint16, np.int32, np.float32)))
     schema = pa.schema([(c, pa.binary()) for c in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,9 +352,10 @@ def _picked(rows: DataFrame, net: Broadcast | None, shift: float = 0.0) -> Sampl
     del got
     base = np.cumsum([0] + [len(x) for x in parts["hash"]])
     wins = [np.where(w >= 0, w + n, -1) for w, n in zip(parts["wins"], base)]
-    whole = {c: np.concatenate(x) if x else np.empty(0, types[c]) for c, x in (parts | {"wins": wins}).items()}
+    parts["wins"] = wins
+    whole = {c: np.concatenate(x) if (x := parts.pop(c)) else np.empty(0, types[c]) for c in names}
     _, first, number = np.unique(whole["hash"], return_index=True, return_inverse=True)  # words of several tasks are one
-    known = WordRows(whole["word"].astype(np.int64), whole["grams"].astype(np.int64), whole["size"].astype(np.int64), whole["weight"]).of(first)
+    known = WordRows(whole["word"], whole.pop("grams"), whole["size"], whole.pop("weight")).of(first)
     wins = np.append(number, -1)[whole["wins"].reshape(-1, WINDOW)]
     order = np.lexsort((whole["print"], whole["y"]))  # the same whatever task had which text
     order = order[whole["count"][order] > 0]

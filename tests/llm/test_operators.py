@@ -333,21 +333,22 @@ def vectors(spark):
     rng = np.random.default_rng(5)
     rows = [(i, rng.standard_normal(8).round(2).tolist()) for i in range(300)]
     rows += [(400 + i, rows[3][1]) for i in range(60)] + [(100, rows[3][1]), (None, rows[1][1]), (500, None), (501, [float("nan")] * 8), (502, [float("inf")] * 8), (503, [None] * 8), (504, [0.0] * 8), (505, [1.0]), (506, [])]
+    rows += [(600 + i, rng.standard_normal(3).round(2).tolist()) for i in range(60)] + [(700, [1.0, 2.0]), (720, [0.5, 0.25]), (800, [7.0] * 5)]  # other lengths
     return rows, spark.createDataFrame([(*r, 0, "clash", 0.5) for r in rows], VECS)
 
 
 def by_force(rows, divisor, k, change, zero):
     ok = [(n, i, change(np.array(v, np.float32).astype(np.float64))) for n, (i, v) in enumerate(rows)
-          if i is not None and v is not None and len(v) == 8 and None not in v and np.isfinite(v).all() and (zero or any(v))]
+          if i is not None and v and None not in v and np.isfinite(v).all() and (zero or any(v))]
     out = []
     for n, i, q in ok:
         if i % divisor == 0:
-            near = sorted((-float((q * c).sum()), j) for m, j, c in ok if m != n)[:k]
+            near = sorted((-float((q * c).sum()), j) for m, j, c in ok if m != n and len(c) == len(q))[:k]
             out += [(i, r, j, round(-s, 9)) for r, (s, j) in enumerate(near, 1)]
     return sorted(out)
 
 
-@pytest.mark.parametrize("sizes", [{}, {"candidates": 40, "queries": 7}])
+@pytest.mark.parametrize("sizes", [{}, {"group_bytes": 40 * 64, "queries": 7}])
 def test_searches_equal_brute_force(spark, sizes):
     prepare(spark)
     rows, frame = vectors(spark)
@@ -358,6 +359,36 @@ def test_searches_equal_brute_force(spark, sizes):
     assert blockjoin.search(frame.limit(0)).count() == 0 and kdtree.search(frame.limit(0)).count() == 0
 
 
+def test_search_copies_candidates_once_a_group_of_queries(spark, monkeypatch):
+    """Shuffled rows for twice and four times the input: candidates are not
+    copied while the queries fit one group, and queries once a group."""
+    from microblog.llm import tiles
+
+    prepare(spark)
+    found = []
+
+    def counted(q, q_rows, vecs, holders, k):
+        return iter([(0, len(q), float(len(vecs)))])
+
+    for n in (400, 800, 1600):
+        rng = np.random.default_rng(n)
+        frame = spark.createDataFrame([(i, rng.standard_normal(4).tolist(), 0, "clash", 0.5) for i in range(n)], VECS)
+        met = tiles.nearest(frame, 20, 10**6, counted, "double", "vec_id", "embedding", zero=True, least_pairs=4).collect()
+        found.append((sum(r.vec_id for r in met), sum(r.score for r in met)))
+    assert found == [(4 * n / 20, n) for n in (400, 800, 1600)]
+
+
+def test_kd_tree_skips_leaves_where_vectors_lie_in_clusters():
+    rng = np.random.default_rng(3)
+    centers = rng.integers(-200, 200, size=(40, 6))
+    vecs = np.concatenate([c + rng.integers(-5, 6, size=(200, 6)) for c in centers]).astype(float)
+    tree = kdtree.Tree(vecs, leaf=64)
+    leaf = np.array([p is not None for p in tree.points])
+    bounds = tree.bounds(vecs[::50])[:, leaf]
+    kth = np.sort(vecs[::50] @ vecs.T, axis=1)[:, -6]
+    assert (bounds >= kth[:, None]).mean() < 0.2
+
+
 def test_kd_tree_boxes_are_tight_and_leaves_partition():
     vecs = np.random.default_rng(1).integers(-50, 50, size=(700, 5)).astype(float)
     tree = kdtree.Tree(vecs, leaf=16)
@@ -439,24 +470,60 @@ def test_components_of_a_long_chain(spark):
     assert {(r.node, r.comp) for r in got.collect()} == {(i, 0) for i in range(31)}
 
 
-def test_automaton_equals_brute_force(docs, none):
-    learn = F.col("doc_id") != 5
-    rows = texts_of(docs)
+def automaton_by_force(rows, learn, order, mu=ngrams.MU):
+    """From the definition, with recursion instead of arcs."""
     toks = [[w.lower() for w in re.findall(rb"[^\x20\x09-\x0D]+", t.encode())] + [None] for _, t in rows]
-    one, two = collections.Counter(), collections.Counter()
+    count = collections.Counter()
     for (i, _), w in zip(rows, toks):
-        if i not in (None, 5):
-            one.update(w)
-            two.update(zip([None, *w], w))
-    n, v = sum(one.values()), len(one)
+        if learn(i):
+            count.update((x,) for x in w)
+            padded = [None, *w]
+            count.update(tuple(padded[j:j + k]) for k in range(2, order + 1) for j in range(len(padded) - k + 1))
+    n, v = sum(c for g, c in count.items() if len(g) == 1), sum(len(g) == 1 for g in count)
+
+    def chance(h, w):
+        if not h:
+            return (count[w,] + 0.5) / (n + 0.5 * (v + 1))
+        lower, m = chance(h[1:], w), mu[min(len(h) - 1, len(mu) - 1)]
+        return (count[*h, w] + m * lower) / (count[h] + m) if count[h] >= ngrams.STATE else lower
+
     want = []
     for (i, _), w in zip(rows, toks):
-        p = [(one[x] + 0.5) / (n + 0.5 * (v + 1)) for x in w]
-        s = [math.log10((two[h, x] + ngrams.MU * q) / (one[h] + ngrams.MU)) for h, x, q in zip([None, *w], w, p)]
-        want.append((str(i), len(w), sum(one[x] > 0 for x in w), n, round(sum(map(math.log10, p)), 4), round(sum(s), 4)))
-    got = ngrams.score(docs, learn, shards=3).collect()
-    assert sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4), round(r.score, 4)) for r in got) == sorted(want)
-    assert ngrams.score(none, learn).count() == 0
+        padded = [None, *w]
+        base = sum(math.log10(chance((), x)) for x in w)
+        s = sum(math.log10(chance(tuple(padded[max(0, j + 1 - order + 1):j + 1]), x)) for j, x in enumerate(w))
+        want.append((str(i), len(w), sum(count[x,] > 0 for x in w), n, round(base, 4), round(s, 4)))
+    return sorted(want), chance, count
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_automaton_equals_brute_force(docs, none, spark, order):
+    more = [doc(100 + i, " ".join(["a b c d a b", "a b c e", "b c d", "x y x y x y", "A  B\nc d"][j] for j in np.random.default_rng(i).integers(5, size=6))) for i in range(40)]
+    frame = docs.unionByName(spark.createDataFrame(more, DOCS))
+    got = ngrams.score(frame, F.col("doc_id") % 5 != 0, order=order, shards=3).collect()
+    want, _, _ = automaton_by_force(texts_of(frame), lambda i: i is not None and i % 5 != 0, order)
+    assert sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4), round(r.score, 4)) for r in got) == want
+    assert ngrams.score(none, F.col("doc_id") != 5, order=order).count() == 0
+
+
+def test_weights_of_a_state_sum_to_one():
+    rows = [(i, " ".join("abcab"[j:j + 3])) for i, j in enumerate([0, 1, 2, 0, 1, 2, 2])]
+    _, chance, count = automaton_by_force(rows, lambda i: True, 3)
+    words = [g[0] for g in count if len(g) == 1]
+    for h in [(), *(g for g in count if len(g) < 3 and g[-1] is not None or g == (None,))]:
+        seen = sum(chance(h, w) for w in words)
+        assert abs(seen + chance(h, b"unheard") - 1) < 1e-9
+
+
+def test_longer_contexts_tell_repeated_texts(spark):
+    """A held-out text whose copy was learnt from scores far above its like."""
+    rows = [doc(i, sentence(5000 + i, 80)) for i in range(200)]
+    rows += [doc(1000 + i, rows[i][1]) for i in range(10)] + [doc(2000 + i, rows[i][1]) for i in range(10)]
+    frame = spark.createDataFrame(rows, DOCS)
+    out = {o: {r.doc_id: r.score / r.n_tokens for r in ngrams.score(frame, ~F.col("doc_id").between(150, 1007), order=o).collect()} for o in (2, 3)}
+    for o in (2, 3):  # all of these are held out, copies of 0 to 7 were learnt from
+        out[o]["gap"] = np.mean([out[o][1000 + i] for i in range(8)]) - np.mean([out[o][i] for i in range(150, 200)])
+    assert out[3]["gap"] > 2 * out[2]["gap"] > 0
 
 
 def test_pipeline_stages_keep_columns_and_drop_rows(spark, tmp_path):
