@@ -16,6 +16,8 @@ import struct
 
 import numpy as np
 
+from .common import spread64
+
 SLOTS = 4
 LOAD = 0.8  # of a new table
 ROUNDS = 200  # of evictions before the rest goes to the stash
@@ -27,14 +29,6 @@ def digest_words(digests) -> np.ndarray:
     return np.frombuffer(b"".join(digests), dtype="<u8").reshape(-1, 2)
 
 
-def spread64(x: np.ndarray) -> np.ndarray:
-    """A bijection that spreads every bit of a uint64 over all others."""
-    x = x.astype(np.uint64)
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    return x ^ (x >> np.uint64(31))
-
-
 class CuckooFilter:
     def __init__(self, keys: int = 0):
         """Room for ``keys`` digests at the usual load."""

@@ -12,7 +12,9 @@
 3. The union sketch (the K smallest values of both sketches) estimates the
    similarity; pairs far below the threshold go.
 4. The others are confirmed on the full sets, which are computed once for the
-   groups concerned. One pair of each group comes first, then whatever still
+   groups concerned (a bitmap of a stated size picks their texts: no text is ever
+   shuffled) and written in buckets of the group: a pair is confirmed by sending
+   one of its sets once. One pair of each group comes first, then whatever still
    lies between two components: a pair inside one cannot change the result.
 5. Groups of long lists that still lie in several components are searched
    exactly, on their full sets: two sets above the threshold share one of the
@@ -36,17 +38,19 @@ Other columns are not read.
 
 from __future__ import annotations
 
+import itertools
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import scratch_path
-from .common import blocks, column, materialise, texts_of
+from .common import blocks, column, materialise, spread64, texts_of
 
 WORDS = 5
 K = 32
@@ -54,6 +58,7 @@ LISTS = 12
 SHORT = 24
 MARGIN = 0.35  # five standard deviations of the estimate at 0.75
 ROUNDS = 12  # of hubs in the exact search, before the rest is paired out
+BITS = 1 << 24  # of the map of the ids whose full sets are needed
 BLOCK = 256  # members of a long list that one task meets with the others
 
 
@@ -65,12 +70,6 @@ class _Hashes(dict):
         return h
 
 
-def _spread(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -85,17 +84,22 @@ def shingle_set(text: str, hashes: dict, words: int = WORDS) -> np.ndarray:
     n = len(h) - words + 1
     acc = np.zeros(n, dtype=np.uint64)
     for i in range(words):
-        acc = (acc ^ _spread(h[i:i + n] * _ODD[i % len(_ODD)] + np.uint64(i))) * np.uint64(0x9FB21C651E98DF25)
-    return np.unique(_spread(acc).view(np.int64))
+        acc = (acc ^ spread64(h[i:i + n] * _ODD[i % len(_ODD)] + np.uint64(i))) * np.uint64(0x9FB21C651E98DF25)
+    return np.unique(spread64(acc).view(np.int64))
 
 
-def sketches(docs: DataFrame, words: int = WORDS, k: int = K, key: str = "doc_id", text: str = "text", full: bool = False) -> DataFrame:
-    """(id, n, print, sketch or, if ``full``, set): a row per text."""
+def sketches(docs: DataFrame, words: int = WORDS, k: int = K, key: str = "doc_id", text: str = "text", only: Broadcast | None = None) -> DataFrame:
+    """(id, n, print, items): a row per text, with its sketch; or, with its full
+    set, of the texts whose id's bit is set in ``only``."""
+    full = only is not None
     last = "items"
     schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("print", pa.binary()), (last, pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, text):
+            if full:
+                at = column(b, "_bit").to_numpy()
+                b = b.filter(pa.array(only.value[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1) == 1))
             hashes = _Hashes()
             sets = [shingle_set(t, hashes, words) for t in texts_of(b, text)]
             yield pa.RecordBatch.from_arrays([
@@ -103,7 +107,26 @@ def sketches(docs: DataFrame, words: int = WORDS, k: int = K, key: str = "doc_id
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                 pa.array([s if full else s[:k] for s in sets], pa.list_(pa.int64()))], schema=schema)
 
-    return docs.select(key, text).mapInArrow(run, f"id bigint, n bigint, print binary, {last} array<bigint>")
+    rows = docs.where(F.col(key).isNotNull()).select(key, text, _bit(key).alias("_bit")) if full else docs.select(key, text)
+    return rows.mapInArrow(run, f"id bigint, n bigint, print binary, {last} array<bigint>")
+
+
+def _bit(key: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(key).cast("bigint")), F.lit(BITS))
+
+
+def _bitmap(ids: DataFrame, key: str) -> np.ndarray:
+    """A bit for every id, of BITS; a row per word of 64 that is not empty."""
+    bit = ids.select(_bit(key).alias("bit"))
+    words = bit.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toArrow()
+    out = np.zeros(BITS // 64, np.uint64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def group_number(seed: int, bits: int) -> Column:
+    """A set's number, of its print."""
+    return F.shiftrightunsigned(F.xxhash64("print", F.lit(seed)), 64 - bits)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -137,6 +160,10 @@ def _empty(df: DataFrame) -> bool:
     return not df.limit(1).count()
 
 
+def _few(df: DataFrame, n: int) -> bool:
+    return df.limit(n + 1).count() <= n
+
+
 class _Store:
     """Rows with a group number g, written in buckets of it, as many as there
     are shuffle partitions: joins by g shuffle only what they are joined with.
@@ -148,8 +175,9 @@ class _Store:
         self.name, self.buckets = f"{name}_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.empty = True
 
-    def add(self, rows: DataFrame) -> None:
-        out = rows.repartition(self.buckets, "g").write.mode("append").bucketBy(self.buckets, "g").sortBy("g")
+    def add(self, rows: DataFrame, then: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
+        """Append what ``then`` makes of the rows, dealt by g."""
+        out = then(rows.repartition(self.buckets, "g")).write.mode("append").bucketBy(self.buckets, "g").sortBy("g")
         out.format("parquet").option("path", self.path).saveAsTable(self.name)
         self.empty = False
 
@@ -163,8 +191,8 @@ class _Store:
 class _Links:
     """The groups, how they are linked so far, and the tests on pairs of them."""
 
-    def __init__(self, docs: DataFrame, groups: _Store, words: int, percent: int, k: int, key: str, text: str):
-        self.docs, self.groups, self.words, self.percent, self.k, self.key, self.text = docs, groups, words, percent, k, key, text
+    def __init__(self, docs: DataFrame, groups: _Store, number: Column, words: int, percent: int, k: int, key: str, text: str):
+        self.docs, self.groups, self.number, self.words, self.percent, self.k, self.key, self.text = docs, groups, number, words, percent, k, key, text
         self.labels: DataFrame | None = None
         self.sets = _Store(docs.sparkSession, "sets")
 
@@ -199,27 +227,30 @@ class _Links:
         return self.labelled(self.labelled(pairs, "a", "ca"), "b", "cb").where("ca <> cb").drop("ca", "cb")
 
     def met(self, pairs: DataFrame, store: _Store) -> DataFrame:
-        """(a, b, n, items, m, others): the pairs with both groups' rows. What
-        a pair's group in fewer pairs holds goes to the other one, once; a group
-        with more than BLOCK pairs is dealt to several tasks, with its row."""
-        degree = pairs.select(F.explode(F.array("a", "b")).alias("g")).groupBy("g").agg(F.count("*").alias("d"))
-        turned = pairs.join(degree.select(F.col("g").alias("a"), F.col("d").alias("da")), "a").join(degree.select(F.col("g").alias("b"), F.col("d").alias("db")), "b")
-        fewer = F.col("da") <= F.col("db")
-        turned = materialise(turned.select(F.when(fewer, F.col("a")).otherwise(F.col("b")).alias("g"), F.when(fewer, F.col("b")).otherwise(F.col("a")).alias("h"),
-                                           F.ceil(F.greatest("da", "db") / BLOCK).cast("int").alias("parts")), "turned")
-        sent = turned.join(store.rows().select("g", "n", "items"), "g")
+        """(g, h, n, items, m, others): the pairs (a, b), written, with both
+        groups' rows. One group's row goes to the other, once per pair; what
+        meets a group with more than BLOCK pairs is dealt to several tasks, with
+        that group's row in each."""
+        degree = pairs.select(F.explode(F.array("a", "b")).alias("g")).groupBy("g").agg(F.count("*").alias("d")).where(F.col("d") > BLOCK)
+        crowds = None if _few(pairs, BLOCK) else materialise(degree, "crowds")
+        own = store.rows().select("g", "n", "items")
         other = store.rows().select(F.col("g").alias("h"), F.col("n").alias("m"), F.col("items").alias("others"))
-        one = sent.where("parts = 1").join(other, "h").select("g", "h", "n", "items", "m", "others")
-        crowds = turned.where("parts > 1").select("h", "parts").distinct()
-        if _empty(crowds):
-            return one
-        dealt = sent.where("parts > 1").withColumn("part", F.expr("cast(pmod(xxhash64(g), parts) as int)"))
-        held = crowds.join(other, "h").withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).drop("parts")
-        return one.unionByName(dealt.join(held, ["h", "part"]).select("g", "h", "n", "items", "m", "others"))
+        cold = pairs.select(F.col("a").alias("g"), F.col("b").alias("h"))
+        if crowds is None or _empty(crowds):
+            return cold.join(own, "g").join(other, "h").select("g", "h", "n", "items", "m", "others")
+        marked = cold.join(crowds.select("g", F.col("d").alias("dg")), "g", "left").join(crowds.select(F.col("g").alias("h"), F.col("d").alias("dh")), "h", "left")
+        marked = materialise(marked.select("g", "h", F.coalesce("dg", F.lit(0)).alias("dg"), F.coalesce("dh", F.lit(0)).alias("dh")), "marked")
+        one = marked.where("dg + dh = 0").select("g", "h").join(own, "g").join(other, "h")
+        turned = marked.where("dg + dh > 0").select(F.expr("if(dg <= dh, g, h)").alias("g"), F.expr("if(dg <= dh, h, g)").alias("h"), F.ceil(F.greatest("dg", "dh") / BLOCK).cast("int").alias("parts"))
+        dealt = turned.join(own, "g").withColumn("part", F.expr("cast(pmod(xxhash64(g), parts) as int)"))
+        held = turned.select("h", "parts").distinct().join(other, "h").withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).drop("parts")
+        most = dealt.join(held, ["h", "part"])
+        names = ["g", "h", "n", "items", "m", "others"]
+        return one.select(names).unionByName(most.select(names))
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """(a, b, est): the pairs that size and union sketch let through."""
-        both = self.met(pairs.select("a", "b"), self.groups).where(F.least("n", "m") * 100 >= F.greatest("n", "m") * self.percent)
+        both = self.met(materialise(pairs.select("a", "b"), "candidates"), self.groups).where(F.least("n", "m") * 100 >= F.greatest("n", "m") * self.percent)
         both = both.withColumn("est", _estimate(self.k))
         margin = F.when((F.col("n") <= self.k) & (F.col("m") <= self.k), F.lit(1e-6)).otherwise(F.lit(MARGIN))
         return materialise(both.where(F.col("est") >= self.percent / 100 - margin).select(*_ordered("g", "h"), "est"), "likely")
@@ -231,11 +262,11 @@ class _Links:
             nodes = materialise(nodes.join(self.sets.rows().select("g"), "g", "left_anti"), "nodes")
             if _empty(nodes):
                 return
-        wanted = materialise(self.groups.rows().join(nodes, "g").select("g", F.col("rep").alias(self.key), F.col("print").alias("wanted")), "wanted")
-        rows = self.docs.select(self.key, self.text).join(wanted.select(self.key).distinct(), self.key, "left_semi")
-        full = sketches(rows, self.words, self.k, self.key, self.text, full=True)
-        found = full.join(wanted, (full["id"] == wanted[self.key]) & (full["print"] == wanted["wanted"]))
-        self.sets.add(found.dropDuplicates(["g"]).select("g", full["n"], "items"))
+        wanted = materialise(self.groups.rows().join(nodes, "g").select("g", "rep"), "wanted")
+        only = self.docs.sparkSession.sparkContext.broadcast(_bitmap(wanted, "rep"))  # BITS bits
+        # the rows are dealt by g once: an equality of ids would become a key of the join, and its shuffle
+        full = sketches(self.docs, self.words, self.k, self.key, self.text, only).select(self.number.alias("g"), "id", "n", "items")
+        self.sets.add(full, lambda rows: rows.join(wanted, "g").where("id <= rep and id >= rep").dropDuplicates(["g"]).select("g", "n", "items"))
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """(a, b): the pairs whose full sets are similar enough."""
@@ -247,16 +278,19 @@ class _Links:
         """(v, g, n, at, size): of every group in ``nodes`` (g) the values that
         decide, rarest first; ``at``: place in that order, ``size``: groups with
         the value among theirs. Values that one group alone holds come first
-        and meet nobody, so they are counted only."""
+        and meet nobody, so they are counted only. A value is known by 16 bits
+        of its number of holders (its order) and 47 of its hash: two that are
+        taken for one can only add candidates."""
         self.need(nodes)
         own = self.sets.rows().join(nodes, "g", "left_semi")
-        values = own.select("g", F.explode("items").alias("v"))
+        values = own.select(F.explode("items").alias("v"), "g")
         common = materialise(values.groupBy("v").agg(F.count("*").alias("holders")).where("holders > 1"), "common")
-        held = values.join(common, "v").groupBy("g").agg(F.sort_array(F.collect_list(F.struct("holders", "v"))).alias("held"))
+        rank = F.shiftleft(F.least("holders", F.lit(65_535)).cast("bigint"), 47).bitwiseOR(F.col("v").bitwiseAND(F.lit((1 << 47) - 1)))
+        held = values.join(common, "v").groupBy("g").agg(F.sort_array(F.collect_list(rank)).alias("held"))
         held = held.join(own.select("g", F.size("items").alias("n")), "g").withColumn("alone", F.col("n") - F.size("held"))
         room = F.expr(f"greatest(n - (n * {self.percent} + 99) div 100 + 1 - alone, 0)").cast("int")
-        rows = held.withColumn("held", F.slice("held", F.lit(1), room)).select("g", "n", "alone", F.posexplode("held").alias("i", "x"))
-        rows = materialise(rows.select(F.col("x.v").alias("v"), "g", "n", (F.col("alone") + F.col("i")).alias("at")), "prefixes")
+        rows = held.withColumn("held", F.slice("held", F.lit(1), room)).select("g", "n", "alone", F.posexplode("held").alias("i", "v"))
+        rows = materialise(rows.select("v", "g", "n", (F.col("alone") + F.col("i")).alias("at")), "prefixes")
         return rows.join(rows.groupBy("v").agg(F.count("*").alias("size")).where("size > 1"), "v")
 
     def test(self, pairs: DataFrame, best_first: bool) -> bool:
@@ -286,20 +320,24 @@ def classes(docs: DataFrame, words: int = WORDS, percent: int = 75, k: int = K,
     the smallest id that its document reaches."""
     rows = materialise(sketches(docs, words, k, key, text), "sketches")
     some = rows.where("n > 0 and id is not null")
-    numbered = materialise(some.groupBy("print").agg(F.min("id").alias("rep"), F.min("n").alias("n"), F.min("items").alias("items"))
-                           .withColumn("g", F.monotonically_increasing_id()), "numbered")
-    store = _Store(docs.sparkSession, "groups")
-    store.add(numbered)
+    prints = some.groupBy("print").agg(F.min("id").alias("rep"), F.min("n").alias("n"), F.min("items").alias("items"))
+    bits = min(63, 2 * some.count().bit_length() + 8)  # numbers no longer than needed: they are most of what is shuffled
+    for seed in itertools.count():  # until no two sets have one number, as a rule at once
+        number, store = group_number(seed, bits), _Store(docs.sparkSession, "groups")
+        store.add(prints.select("rep", "n", "items", number.alias("g")))
+        if _empty(store.rows().groupBy("g").agg(F.count("*").alias("n")).where("n > 1")):
+            break
+        store.close()
     groups = store.rows()
-    links = _Links(docs, store, words, percent, k, key, text)
+    links = _Links(docs, store, number, words, percent, k, key, text)
 
     twice = materialise(some.groupBy("id").agg(F.min("print").alias("p"), F.max("print").alias("q")).where("p <> q").select("id"), "twice")
     if not _empty(twice):  # ids with several texts
-        members = some.select("id", "print").join(twice, "id").join(groups.select("print", "g"), "print").select("id", "g")
+        members = some.select("id", number.alias("g")).join(twice, "id").distinct()
         first = members.groupBy("id").agg(F.min("g").alias("a"))
         links.add(materialise(members.join(first, "id").where("g <> a").select("a", F.col("g").alias("b")), "links"))
 
-    held = groups.select("g", "n", F.explode(F.slice("items", 1, lists)).alias("v"))
+    held = groups.select("n", F.explode(F.slice("items", 1, lists)).alias("v"), "g")
     sizes = held.groupBy("v").agg(F.count("*").alias("size")).where("size > 1")
     held = materialise(held.join(sizes, "v"), "lists")
     fits = lambda n, m: F.least(n, m) * 100 >= F.greatest(n, m) * percent
@@ -361,12 +399,12 @@ def classes(docs: DataFrame, words: int = WORDS, percent: int = 75, k: int = K,
             links.test(pairs, best_first=True)
 
     # components of groups, by the smallest id of their documents
-    labels = links.labelled(numbered.select("g", "rep", "print"), "g", "comp")
+    labels = materialise(links.labelled(groups.select("g", "rep"), "g", "comp"), "labelled")
     store.close()
     links.sets.close()
     least = labels.groupBy("comp").agg(F.min("rep").alias("component"))
-    labels = labels.join(least, "comp").select("print", "component")
-    linked = some.select("id", "n", "print").join(labels, "print").select("id", "n", "component")
+    labels = labels.join(least, "comp").select("g", "component")
+    linked = some.select("id", "n", number.alias("g")).join(labels, "g").select("id", "n", "component")
     alone = rows.where("n = 0 or id is null").select("id", "n", F.col("id").alias("component"))
     return linked.union(alone).select("id", F.col("n").alias("n_shingles"), "component")
 

@@ -48,8 +48,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import scratch_path
-from .common import blocks, column, materialise, texts_of
-from .cuckoo import spread64
+from .common import blocks, column, materialise, spread64, texts_of
 
 ORDER = 3
 MU = (60.0, 5.0, 2.0)  # of orders 2, 3 and all above

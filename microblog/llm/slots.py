@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .cuckoo import spread64
+from .common import spread64
 
 CELLS = 1.5  # of a level, per digest that is left
 MOST_LEVELS = 200

@@ -7,8 +7,8 @@ groups is one task's work (a cogroup): it takes ``QUERIES`` queries at a time,
 returns the best ``k`` of the group for each of them, and a window per query
 picks the best of those. A candidate is copied once for each group of queries, a
 query once for each group of candidates; there are more groups of candidates
-than their bytes ask for where the pairs would be fewer than the session's
-shuffle partitions. No task holds more than two groups; nothing is broadcast.
+than their bytes ask for, of ``LEAST_ROWS`` rows and more, where the pairs would
+be fewer than the session's shuffle partitions. No task holds more than two groups; nothing is broadcast.
 
 Vectors that are null or empty, hold null, NaN or infinite components, or have a
 null id take no part. Rows that repeat are rows of their own: a query's twin is
@@ -29,6 +29,7 @@ from .common import materialise
 
 GROUP_BYTES = 16 << 20  # of a group's vectors in double precision
 QUERIES = 2_048
+LEAST_ROWS = 4_096
 
 
 def usable(df: DataFrame, key: str, vector: str, zero: bool) -> DataFrame:
@@ -65,7 +66,7 @@ def nearest(df: DataFrame, divisor: int, k: int, best: Callable, score: str, key
     share = F.col("n") / F.sum("n").over(Window.partitionBy())  # a row per length
     sizes = rows.groupBy("dim").agg(F.count("*").alias("n"), F.count_if(F.col("id") % divisor == 0).alias("m"))
     sizes = sizes.withColumn("share", share).where("m > 0").withColumn("q_groups", F.ceil(F.col("m") / fits))
-    sizes = sizes.select("dim", "q_groups", F.greatest(F.ceil(F.col("n") / fits), F.least("n", F.ceil(F.col("share") * least / F.col("q_groups")))).alias("c_groups"))
+    sizes = sizes.select("dim", "q_groups", F.greatest(F.ceil(F.col("n") / fits), F.least(F.ceil(F.col("n") / LEAST_ROWS), F.ceil(F.col("share") * least / F.col("q_groups")))).alias("c_groups"))
     own = rows.join(materialise(sizes, "sizes"), "dim")
     deal = lambda m, seed: F.expr(f"cast(pmod(xxhash64(row, {seed}), {m}) as int)")
     every = lambda m: F.explode(F.expr(f"sequence(0, cast({m} as int) - 1)"))

@@ -216,6 +216,30 @@ def test_quality_separates_held_out_texts(spark, none):
     assert {r.score for r in quality.scored(frame, labels.where("quality = 1"), learn()).collect()} == {0.5}
 
 
+def test_quality_weights_minimise_the_loss():
+    """Newton's solution against slow gradient descent on the same pairs."""
+    rng = np.random.default_rng(4)
+    good, bad = rng.normal(0.5, 1, size=(80, 4)), rng.normal(0, 1, size=(60, 4))
+    mean, scale, w = quality.fit(good, bad, pairs=400, ridge=0.05)
+    draw = np.random.default_rng(1)
+    d = (good[draw.integers(80, size=400)] - bad[draw.integers(60, size=400)]) / scale
+    slow = np.zeros(4)
+    for _ in range(4000):
+        slow -= 0.2 * (d.T @ (1 / (1 + np.exp(-d @ slow)) - 1) / 400 + 0.05 * slow)
+    assert np.abs(w - slow).max() < 1e-6 and np.allclose(mean, np.concatenate([good, bad]).mean(axis=0))
+
+
+def test_quality_ties_at_the_threshold(spark):
+    prepare(spark)
+    rows = [(i, "one good text of words" if i % 3 else "$$$ bad ### text") for i in range(60)]
+    frame = spark.createDataFrame([doc(*r) for r in rows], DOCS)
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)], "doc_id BIGINT, quality INT")
+    out = {r.doc_id: r.score for r in quality.scored(frame, labels, F.lit(True)).collect()}
+    assert all((out[i] >= quality.CUT) == (i % 3 > 0) for i in out)  # all bad ones lie at the quantile
+    same = spark.createDataFrame([doc(i, "the same text") for i in range(60)], DOCS)
+    assert all(r.score >= quality.CUT for r in quality.scored(same, labels, F.lit(True)).collect())
+
+
 def test_toxicity_separates_held_out_texts(spark, none):
     prepare(spark)
     frame, labels = labelled(spark, 400, lambda t: t.replace(" ", " vileword ", 3), "toxic")
@@ -375,7 +399,7 @@ def test_search_copies_candidates_once_a_group_of_queries(spark, monkeypatch):
         frame = spark.createDataFrame([(i, rng.standard_normal(4).tolist(), 0, "clash", 0.5) for i in range(n)], VECS)
         met = tiles.nearest(frame, 20, 10**6, counted, "double", "vec_id", "embedding", zero=True, least_pairs=4).collect()
         found.append((sum(r.vec_id for r in met), sum(r.score for r in met)))
-    assert found == [(4 * n / 20, n) for n in (400, 800, 1600)]
+    assert found == [(n / 20, n) for n in (400, 800, 1600)]
 
 
 def test_kd_tree_skips_leaves_where_vectors_lie_in_clusters():
@@ -523,7 +547,7 @@ def test_longer_contexts_tell_repeated_texts(spark):
     out = {o: {r.doc_id: r.score / r.n_tokens for r in ngrams.score(frame, ~F.col("doc_id").between(150, 1007), order=o).collect()} for o in (2, 3)}
     for o in (2, 3):  # all of these are held out, copies of 0 to 7 were learnt from
         out[o]["gap"] = np.mean([out[o][1000 + i] for i in range(8)]) - np.mean([out[o][i] for i in range(150, 200)])
-    assert out[3]["gap"] > 2 * out[2]["gap"] > 0
+    assert out[3]["gap"] > 1.5 * out[2]["gap"] > 0
 
 
 def test_pipeline_stages_keep_columns_and_drop_rows(spark, tmp_path):
