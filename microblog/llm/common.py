@@ -7,6 +7,7 @@ how long texts a partition has.
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Iterable, Iterator
 
@@ -43,6 +44,14 @@ def materialise(df: DataFrame, name: str, **options) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Shuffle files of finished jobs go once the driver's JVM has collected what
+    refers to them. Between many rounds of small jobs it would not do so by
+    itself, and the files of all rounds would lie on the disks together."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5 (null id: null)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5

@@ -50,7 +50,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import scratch_path
-from .common import blocks, column, materialise, spread64, texts_of
+from .common import blocks, column, materialise, release_shuffles, spread64, texts_of
 
 WORDS = 5
 K = 32
@@ -135,8 +135,8 @@ def components(edges: DataFrame) -> DataFrame:
     passes it to the node that its old label names, and then follows its new
     label one step on; every round is a written table."""
     ends = edges.select("a", "b").where("a <> b")
-    both = materialise(ends.union(ends.select("b", "a")).distinct(), "edges")
-    labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("comp")), "labels")
+    both = _table(ends.union(ends.select("b", "a")).distinct(), "edges")
+    labels = _table(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("comp")), "labels")
     while True:
         seen = labels.select(F.col("node").alias("b"), F.col("comp").alias("seen"))
         near = both.join(seen, "b").groupBy(F.col("a").alias("node")).agg(F.min("seen").alias("low"))
@@ -144,7 +144,7 @@ def components(edges: DataFrame) -> DataFrame:
         told = own.where("low < comp").select(F.col("comp").alias("node"), F.lit(None).cast("long").alias("comp"), "low")
         lower = own.union(told).groupBy("node").agg(F.max("comp").alias("old"), F.min("low").alias("low")).select("node", "old", F.least("old", "low").alias("comp"))
         jump = labels.select(F.col("node").alias("comp"), F.col("comp").alias("far"))
-        new = materialise(lower.join(jump, "comp").select("node", "old", F.least("comp", "far").alias("comp")), "round")
+        new = _table(lower.join(jump, "comp").select("node", "old", F.least("comp", "far").alias("comp")), "round")
         labels = new.select("node", "comp")
         if _empty(new.where("old <> comp")):
             return labels
@@ -164,6 +164,14 @@ def _few(df: DataFrame, n: int) -> bool:
     return df.limit(n + 1).count() <= n
 
 
+def _table(df: DataFrame, name: str) -> DataFrame:
+    """A written table of links or numbers. It is far smaller than the texts by
+    which the session's partitions are sized, so that an eighth as many files
+    do."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialise(df.coalesce(min(parts, max(8, parts // 8))), name)
+
+
 class _Store:
     """Rows with a group number g, written in buckets of it, as many as there
     are shuffle partitions: joins by g shuffle only what they are joined with.
@@ -204,10 +212,11 @@ class _Links:
 
     def add(self, edges: DataFrame) -> bool:
         """Links (a, b) join components; whether any did."""
+        release_shuffles(edges.sparkSession)
         new = edges.select("a", "b")
         if self.labels is not None:
             both = self.labelled(self.labelled(new, "a", "ca"), "b", "cb")
-            new = materialise(both.where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "links")
+            new = _table(both.where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "links")
         if _empty(new):
             return False
         joined = components(new)  # of the components before
@@ -217,7 +226,7 @@ class _Links:
         now = joined.select(F.col("node").alias("comp"), F.col("comp").alias("new"))
         old = self.labels.join(now, "comp", "left").select("node", F.coalesce("new", "comp").alias("comp"))
         fresh = joined.join(self.labels.select("node"), "node", "left_anti")  # groups that were alone
-        self.labels = materialise(old.union(fresh.select("node", "comp")), "labels")
+        self.labels = _table(old.union(fresh.select("node", "comp")), "labels")
         return True
 
     def apart(self, pairs: DataFrame) -> DataFrame:
@@ -232,14 +241,14 @@ class _Links:
         meets a group with more than BLOCK pairs is dealt to several tasks, with
         that group's row in each."""
         degree = pairs.select(F.explode(F.array("a", "b")).alias("g")).groupBy("g").agg(F.count("*").alias("d")).where(F.col("d") > BLOCK)
-        crowds = None if _few(pairs, BLOCK) else materialise(degree, "crowds")
+        crowds = None if _few(pairs, BLOCK) else _table(degree, "crowds")
         own = store.rows().select("g", "n", "items")
         other = store.rows().select(F.col("g").alias("h"), F.col("n").alias("m"), F.col("items").alias("others"))
         cold = pairs.select(F.col("a").alias("g"), F.col("b").alias("h"))
         if crowds is None or _empty(crowds):
             return cold.join(own, "g").join(other, "h").select("g", "h", "n", "items", "m", "others")
         marked = cold.join(crowds.select("g", F.col("d").alias("dg")), "g", "left").join(crowds.select(F.col("g").alias("h"), F.col("d").alias("dh")), "h", "left")
-        marked = materialise(marked.select("g", "h", F.coalesce("dg", F.lit(0)).alias("dg"), F.coalesce("dh", F.lit(0)).alias("dh")), "marked")
+        marked = _table(marked.select("g", "h", F.coalesce("dg", F.lit(0)).alias("dg"), F.coalesce("dh", F.lit(0)).alias("dh")), "marked")
         one = marked.where("dg + dh = 0").select("g", "h").join(own, "g").join(other, "h")
         turned = marked.where("dg + dh > 0").select(F.expr("if(dg <= dh, g, h)").alias("g"), F.expr("if(dg <= dh, h, g)").alias("h"), F.ceil(F.greatest("dg", "dh") / BLOCK).cast("int").alias("parts"))
         dealt = turned.join(own, "g").withColumn("part", F.expr("cast(pmod(xxhash64(g), parts) as int)"))
@@ -259,7 +268,7 @@ class _Links:
         """Full sets of the groups ``nodes`` (g), each computed once, from the
         text of one document of the group."""
         if not self.sets.empty:
-            nodes = materialise(nodes.join(self.sets.rows().select("g"), "g", "left_anti"), "nodes")
+            nodes = _table(nodes.join(self.sets.rows().select("g"), "g", "left_anti"), "nodes")
             if _empty(nodes):
                 return
         wanted = materialise(self.groups.rows().join(nodes, "g").select("g", "rep"), "wanted")
@@ -305,9 +314,9 @@ class _Links:
         either = pairs.select("est", "a", "b").unionByName(pairs.select("est", F.col("a").alias("b"), F.col("b").alias("a")))
         known = either.join(either.groupBy("b").agg(F.count("*").alias("known")), "b")
         choice = F.struct(F.col("est") >= self.percent / 100, "known", F.col("b"))
-        best = materialise(known.groupBy("a").agg(F.max(choice).alias("best")).select(*_ordered("a", "best.b")).distinct(), "best")
+        best = _table(known.groupBy("a").agg(F.max(choice).alias("best")).select(*_ordered("a", "best.b")).distinct(), "best")
         some = self.add(self.confirmed(best))
-        rest = materialise(self.apart(pairs.select("a", "b").join(best, ["a", "b"], "left_anti")), "pairs")
+        rest = _table(self.apart(pairs.select("a", "b").join(best, ["a", "b"], "left_anti")), "pairs")
         return (not _empty(rest) and self.add(self.confirmed(rest))) or some
 
 
@@ -335,7 +344,7 @@ def classes(docs: DataFrame, words: int = WORDS, percent: int = 75, k: int = K,
     if not _empty(twice):  # ids with several texts
         members = some.select("id", number.alias("g")).join(twice, "id").distinct()
         first = members.groupBy("id").agg(F.min("g").alias("a"))
-        links.add(materialise(members.join(first, "id").where("g <> a").select("a", F.col("g").alias("b")), "links"))
+        links.add(_table(members.join(first, "id").where("g <> a").select("a", F.col("g").alias("b")), "links"))
 
     held = groups.select("n", F.explode(F.slice("items", 1, lists)).alias("v"), "g")
     sizes = held.groupBy("v").agg(F.count("*").alias("size")).where("size > 1")
@@ -384,7 +393,7 @@ def classes(docs: DataFrame, words: int = WORDS, percent: int = 75, k: int = K,
     tested = pairs.select("a", "b")
 
     now, open_lists = spans(long)
-    nodes = materialise(now.join(open_lists, "v", "left_semi").select("g").distinct(), "open")
+    nodes = _table(now.join(open_lists, "v", "left_semi").select("g").distinct(), "open")
     if not _empty(nodes):  # the exact search
         rare = materialise(links.prefixes(nodes), "rare")
         long = centred(rare.where(F.col("size") > short).drop("size"), "long-rare")
