@@ -117,7 +117,7 @@ class LibraryTexts:
         return [self._ids(t) if i in odd else next(rest) for i, t in enumerate(texts)]
 
 
-_encoders: dict[tuple[str, str], PieceEncoder] = {}
+_encoders: dict[tuple[str, str], tuple[PieceEncoder, LibraryTexts]] = {}
 
 
 def encoder(data: str, pattern: str, added: bool = False) -> PieceEncoder | LibraryTexts:
@@ -127,5 +127,6 @@ def encoder(data: str, pattern: str, added: bool = False) -> PieceEncoder | Libr
     if key not in _encoders:
         _encoders.clear()
         replay = replay_of(data)
-        _encoders[key] = PieceEncoder(pattern, (lambda words: replay([w.encode() for w in words])) if replay else LibraryWords(data))
-    return LibraryTexts(data, _encoders[key]) if added else _encoders[key]
+        plain = PieceEncoder(pattern, (lambda words: replay([w.encode() for w in words])) if replay else LibraryWords(data))
+        _encoders[key] = plain, LibraryTexts(data, plain)
+    return _encoders[key][added]

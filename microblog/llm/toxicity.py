@@ -66,26 +66,32 @@ class Words(dict):
         return n
 
     def rows(self) -> WordRows:
-        """What the network knows of every word."""
-        low = ["<" + (w.strip(_MARKS) or w) + ">" for w in self]
-        size = np.fromiter(map(len, low), dtype=np.int64, count=len(low))
-        word = np.fromiter((xxhash.xxh32_intdigest(w.encode()) for w in low), dtype=np.int64, count=len(low)) % WORD_ROWS
-        codes = np.frombuffer("".join(low).encode("utf-32-le"), dtype="<u4").astype(np.uint32)
-        left = np.repeat(np.cumsum(size), size) - np.arange(len(codes))  # characters to the word's end
-        owner, rows = [], []
-        of = np.repeat(np.arange(len(low)), size)
-        for n in GRAMS:
-            h = np.full(max(0, len(codes) - n + 1), n, dtype=np.uint32)
-            for j in range(n):
-                h = (h ^ codes[j:len(h) + j]) * np.uint32(0x9E3779B1)
-                h ^= h >> np.uint32(15)
-            fits = np.flatnonzero(left[:len(h)] >= n)
-            owner.append(of[fits])
-            rows.append(h[fits] % CHAR_ROWS)
-        key, times = np.unique(np.concatenate(owner) * CHAR_ROWS + np.concatenate(rows).astype(np.int64), return_counts=True)
-        owner = key // CHAR_ROWS
-        total = np.bincount(owner, weights=times, minlength=len(low))
-        return WordRows(word, key % CHAR_ROWS, np.bincount(owner, minlength=len(low)), (times / np.sqrt(total[owner])).astype(np.float32))
+        """What the network knows of every word, some words at a time: their
+        n-grams take far more room than what is kept of them."""
+        own = list(self)
+        parts = [_rows(own[i:i + _CHUNK]) for i in range(0, max(1, len(own)), _CHUNK)]
+        return WordRows(*map(np.concatenate, zip(*parts)))
+
+
+def _rows(words: list[str]) -> WordRows:
+    low = ["<" + (w.strip(_MARKS) or w) + ">" for w in words]
+    size = np.fromiter(map(len, low), dtype=np.int64, count=len(low))
+    word = np.fromiter((xxhash.xxh32_intdigest(w.encode()) for w in low), dtype=np.int64, count=len(low)) % WORD_ROWS
+    codes = np.frombuffer("".join(low).encode("utf-32-le"), dtype="<u4").astype(np.uint32)
+    left = np.repeat(np.cumsum(size), size) - np.arange(len(codes))  # characters to the word's end
+    keys = []
+    of = np.repeat(np.arange(len(low)), size)
+    for n in GRAMS:
+        h = np.full(max(0, len(codes) - n + 1), n, dtype=np.uint32)
+        for j in range(n):
+            h = (h ^ codes[j:len(h) + j]) * np.uint32(0x9E3779B1)
+            h ^= h >> np.uint32(15)
+        fits = np.flatnonzero(left[:len(h)] >= n)
+        keys.append(of[fits] * CHAR_ROWS + h[fits] % CHAR_ROWS)
+    key, times = np.unique(np.concatenate(keys), return_counts=True)
+    owner = key // CHAR_ROWS
+    total = np.bincount(owner, weights=times, minlength=len(low))
+    return WordRows(word, (key % CHAR_ROWS).astype(np.uint16), np.bincount(owner, minlength=len(low)), (times / np.sqrt(total[owner])).astype(np.float32))
 
 
 class WordRows(NamedTuple):
