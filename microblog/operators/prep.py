@@ -7,10 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema
-from ..config import scratch_path
 from ..functions import text as T
 from ..functions.labels import label_remap
-from .common import bind_once
+from .common import bind_once, stored  # noqa: F401  part of the preparation job's interface
 from .indexing import global_rank
 
 # Strings a pandas CSV scan reads back as missing by default.
@@ -128,11 +127,3 @@ def shuffled_head(df: DataFrame, n: int, key: str, seed: int = SHUFFLE_SEED) ->
 def first_prepared(spark: SparkSession, sf_dir: str, subsets: tuple[int, ...] = SUBSETS) -> DataFrame:
     """The step after it: the head of the shuffled corpus, cut again and again."""
     return shuffled_head(examples(spark, sf_dir), min(subsets), "id")
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Written once to the shared folder and read back, for frames that several
-    steps read."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
 from .indexing import prefix_sum
 
 # The reference's window width and slide, in seconds.
@@ -94,8 +95,10 @@ def top_per_window(dense: DataFrame, key: str, k: int = 10) -> DataFrame:
 def top_as_of(df: DataFrame, key: str, width: int, k: int = 10, sec: str = "sec",
               at: Column | None = None) -> DataFrame:
     """Top ``k`` keys by count in ``(at - width, at]``; ``at`` defaults to the
-    latest second in ``df`` (a scalar subquery, evaluated inside Spark)."""
-    t = at if at is not None else df.select(F.max(sec)).scalar()
-    inside = df.filter((F.col(sec) > t - F.lit(width)) & (F.col(sec) <= t))
-    counts = inside.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    latest second in ``df``. The rows are read once: then they are counted by
+    pane, and the panes, written, give the latest second and the counts."""
+    counted = stored(panes(df, key, sec), "panes") if at is None else panes(df, key, sec)
+    t = at if at is not None else counted.select(F.max(sec)).scalar()
+    inside = counted.filter((F.col(sec) > t - F.lit(width)) & (F.col(sec) <= t))
+    counts = inside.groupBy(key).agg(F.sum("c").cast("bigint").alias("n"))
     return counts.orderBy(F.desc("n"), F.asc(key)).limit(k)

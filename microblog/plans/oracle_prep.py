@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import sqlfrag as S
+from .catalog_ml import COUNTED_CLASSES
 from .catalog_prep import HEAD_EXAMPLES, LOOKUP_EVENT, NEW_VERSION, VERSIONS
 from .oracle import oracle
 from ..functions.labels import DOC_KEY_SUFFIX
@@ -37,6 +38,10 @@ row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR) || '-42'), id) AS pos FROM e
 oracle("labelled_csv_scan", LAB + "SELECT sentiment, id, date, query, \"user\", tweet FROM labelled")
 oracle("shuffle_rows", LAB + """SELECT id, tweet, row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR) || '-42'), id) AS pos
 FROM labelled""")
+oracle("function_scores", LAB + f""", served AS (
+  SELECT id, {S.clean_serving('tweet')} AS text FROM labelled UNION ALL SELECT id, {S.clean_serving('tweet')} FROM {edge_rows_sql()})
+SELECT id, CAST(CASE WHEN len({S.ws_tokens('text')}) = 0 THEN -1 ELSE (length(text) - length(replace(text, ' ', ''))) % {COUNTED_CLASSES} END AS INTEGER) AS sentiment
+FROM served""")
 oracle("csv_scan_roundtrip", EX + "SELECT label, text FROM examples")
 
 VOCAB = f""", freq AS (
