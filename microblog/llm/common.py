@@ -59,7 +59,8 @@ def fold(doc_id: Column) -> Column:
 
 def blocks(batches: Iterable[pa.RecordBatch], text: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most ``limit`` bytes of ``text`` each, or
-    one row if that alone is longer. Whole rows only, none left out."""
+    one row if that alone is longer. Whole rows only, none left out. At the end
+    Arrow gives back what it keeps for later: workers outlive their tasks."""
     for batch in batches:
         n = batch.num_rows
         if not n:
@@ -73,6 +74,7 @@ def blocks(batches: Iterable[pa.RecordBatch], text: str, limit: int = BLOCK_BYTE
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    pa.default_memory_pool().release_unused()
 
 
 def spread(work: DataFrame, *keys: str) -> DataFrame:
