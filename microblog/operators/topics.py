@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .common import bind_once
+from .common import bind_once, stored
 
 # Terms tracked by the feed in the query catalogue.
 TRACK_TERMS = ["error", "click"]
@@ -44,6 +44,11 @@ def track_terms(df: DataFrame, terms: list[str] = TRACK_TERMS) -> DataFrame:
     return df.filter(T.has_any_term("text", terms))
 
 
+def _distinct_terms(text: str) -> Column:
+    """The distinct ``term_tokens`` that are not empty, cleaned in one go."""
+    return F.array_distinct(T.ws_tokens(T.strip_punct(F.lower(F.col(text)))))
+
+
 def phrase_index(phrases: DataFrame, posts: DataFrame | None = None, phrase: str = "phrase", text: str = "text") -> DataFrame:
     """word, words, phrase: each phrase under one of its words (lower-cased,
     punctuation removed). Given ``posts``, that is the word that the fewest of
@@ -54,7 +59,7 @@ def phrase_index(phrases: DataFrame, posts: DataFrame | None = None, phrase: str
     if posts is None:
         by = F.struct(-F.length("word"), "word")
     else:
-        seen = posts.select(F.explode(T.term_tokens(text)).alias("word")).join(each.select("word").distinct(), "word", "left_semi")
+        seen = posts.select(F.explode(T.ws_tokens(T.strip_punct(F.lower(F.col(text))))).alias("word")).join(each.select("word").distinct(), "word", "left_semi")
         seen = seen.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
         each = each.join(seen, "word", "left")
         by = F.struct(F.coalesce("n", F.lit(0)), -F.length("word"), "word")
@@ -66,7 +71,13 @@ def track_phrases(posts: DataFrame, index: DataFrame, text: str = "text") -> Dat
     """The posts' columns and ``phrase``, a row for every phrase all of whose
     words occur in the post, in any order (a phrase of one word is a term). The
     index is joined by one word of each phrase, so thousands of phrases cost a
-    look-up per distinct token, and only posts with that word are tested."""
-    bound = bind_once(posts, "_words", F.array_distinct(T.term_tokens(text)))
-    found = bound.select("*", F.explode("_words").alias("word")).join(index, "word")
-    return found.where(F.forall("words", lambda w: F.array_contains("_words", w))).select(*posts.columns, "phrase")
+    look-up per distinct token, and only posts with that word are tested.
+
+    Index and posts are written once: the look-up carries a post's number and
+    its words, never its text, and the posts meet the phrases it finds by number."""
+    numbered = stored(posts.withColumn("_post", F.monotonically_increasing_id()), "numbered-posts")
+    asked = numbered.select("_post", F.explode(_distinct_terms(text)).alias("word")).join(stored(index, "phrase-index"), "word")
+    found = asked.groupBy("_post").agg(F.collect_list(F.struct("words", "phrase")).alias("_asked"))
+    bound = bind_once(numbered.join(found, "_post"), "_words", _distinct_terms(text))
+    whole = F.filter("_asked", lambda p: F.forall(p.getField("words"), lambda w: F.array_contains("_words", w)))
+    return bound.select(*posts.columns, F.explode(F.transform(whole, lambda p: p.getField("phrase"))).alias("phrase"))
