@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,23 +52,19 @@ def pack(docs: DataFrame, tokenizer_path: str, pattern: str, length: int = LENGT
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(data.value, pattern, added=True)
         for b in blocks(batches, text):
-            row, starts, lengths, totals, crcs, parts = [], [], [], [], [], []
-            for i, raw in enumerate(encode(texts_of(b, text))):
-                raw += end
-                n, at = len(raw) // 4, 0
-                for size in piece_lengths(n, length):
-                    piece = raw[4 * at:4 * (at + size)]
-                    row.append(i)
-                    starts.append(at)
-                    lengths.append(size)
-                    totals.append(n)
-                    crcs.append(zlib.crc32(piece))
-                    if with_ids:
-                        parts.append(np.frombuffer(piece, dtype="<i4"))
-                    at += size
-            arrays = [column(b, key).cast(pa.int64()).take(pa.array(row, pa.int64())), *(pa.array(x, pa.int64()) for x in (starts, lengths, totals, crcs))]
+            raw = [x + end for x in encode(texts_of(b, text))]
+            totals = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) // 4
+            sizes = [piece_lengths(n, length) for n in totals.tolist()]
+            row = np.repeat(np.arange(len(raw)), [len(x) for x in sizes])
+            lengths = np.fromiter(chain.from_iterable(sizes), dtype=np.int64, count=len(row))
+            ends = np.cumsum(lengths)
+            starts = ends - lengths
+            joined = memoryview(b"".join(raw))
+            crcs = [zlib.crc32(joined[i:j]) for i, j in zip((starts * 4).tolist(), (ends * 4).tolist())]
+            own = starts - (np.cumsum(totals) - totals)[row]
+            arrays = [column(b, key).cast(pa.int64()).take(pa.array(row)), *(pa.array(x, pa.int64()) for x in (own, lengths, totals[row], crcs))]
             if with_ids:
-                arrays.append(pa.array(parts, type=pa.list_(pa.int32())))
+                arrays.append(pa.ListArray.from_arrays(pa.array(np.append(starts, ends[-1:]), pa.int32()), pa.array(np.frombuffer(joined, dtype="<i4"))))
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     ddl = f"`{key}` bigint, start bigint, length bigint, doc_tokens bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids

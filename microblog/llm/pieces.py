@@ -12,6 +12,7 @@ from __future__ import annotations
 import gc
 import re
 from collections.abc import Callable, Sequence
+from itertools import islice
 
 import regex
 
@@ -21,6 +22,14 @@ _CUT = re.compile(r"(?<=\S) ")
 _LETTERS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]?)").fullmatch
 
 
+def _distinct(parts: Sequence[list[str]]) -> tuple[set[str], set[str]]:
+    """The pieces at the start of a text and those after a space."""
+    first, rest = {p[0] for p in parts}, set()
+    for p in parts:
+        rest.update(islice(p, 1, None))
+    return first, rest
+
+
 class PieceEncoder:
     """Encodes texts to ids (little-endian unsigned 32-bit bytes).
 
@@ -52,7 +61,9 @@ class PieceEncoder:
         again = rest.intersection(self._old)
         known.update([(p, self._old[p]) for p in again])
         for p in rest - again:
-            if m := _LETTERS(p):
+            if p.isascii() and p.isalpha():  # what the expression finds in most pieces
+                plain.add(p)
+            elif m := _LETTERS(p):
                 letters, mark = m.groups()
                 if letters not in known:
                     plain.add(letters)
@@ -77,10 +88,13 @@ class PieceEncoder:
         if max(len(self._rest), len(self._words)) > self._entries or self._held > self._chars:
             self._old = {} if self._held > self._chars else self._rest  # one older generation stays
             self._clear()
-        parts = [_CUT.split(t) if _SPACE_AFTER_SPACE.search(t) else t.split(" ") for t in texts]
-        first, rest = {p[0] for p in parts}, set()
-        for p in parts:
-            rest.update(p[1:])
+        parts = [t.split(" ") for t in texts]
+        first, rest = _distinct(parts)
+        # few distinct pieces tell whether any space follows one: no need to search all texts
+        ends = {p for pieces in (first, rest) for p in pieces if not p or p[-1].isspace()}
+        if ends:
+            parts = [p if ends.isdisjoint(p) or not _SPACE_AFTER_SPACE.search(t) else _CUT.split(t) for p, t in zip(parts, texts)]
+            first, rest = _distinct(parts)
         collecting = gc.isenabled()
         gc.disable()  # millions of small strings and no cycles among them
         try:
@@ -89,4 +103,4 @@ class PieceEncoder:
             if collecting:
                 gc.enable()
         get, heads = self._rest.__getitem__, self._first
-        return [heads[p[0]] + b"".join(map(get, p[1:])) for p in parts]
+        return [heads[p[0]] + b"".join(map(get, islice(p, 1, None))) for p in parts]
