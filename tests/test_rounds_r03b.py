@@ -34,3 +34,35 @@ def test_a_fold_moves_and_sorts_its_rows_once(spark, monkeypatch):
     assert len(shuffled_columns(written[1])) == 1
     assert sorted(map(str, map(tuple, keyed.latest(spark, path).collect()))) == sorted(want)
     assert "Aggregate" not in keyed.latest(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_single_features_of_the_head_are_one_weight_and_agree(spark, monkeypatch):
+    """Weights of features that one example has are kept once for all of them,
+    also in the head; they are those that every feature for itself gets."""
+    from microblog.operators import softmax
+    from microblog.operators import vocab as V
+
+    rows = [(i, i % 3, " ".join([["good", "bad", "so"][i % 3], f"w{i % 7}", f"own{i} own{i}", f"own{i}x", f"own{i}y", f"pair{i // 2}"])) for i in range(24)]
+    ex = spark.createDataFrame([*rows, (30, 1, None), (31, 2, "alone")], "id BIGINT, label INT, text STRING")
+    vocab = V.build(ex).cache()
+    feats = softmax.features(V.encode(ex, vocab)).join(ex.select("id", "label"), "id").cache()
+    params = softmax.Params(steps=3)
+    only = softmax.is_inner("id", params.seed)
+
+    def learnt():
+        at = softmax._Layout(feats)
+        try:
+            got = [{r.idx: r.asDict() for r in softmax._fit(at, (0.0, 0.01), params, o).collect()} for o in (None, ~only)]
+            return got, at.docs.selectExpr("explode(feats.idx) AS idx").distinct().count(), at.far
+        finally:
+            at.drop()
+
+    each, held, _ = learnt()
+    monkeypatch.setattr(softmax, "MERGE_ROWS", 10)
+    for head, far in ((softmax.HEAD_ROWS, False), (6, True)):
+        monkeypatch.setattr(softmax, "HEAD_ROWS", head)
+        one, fewer, beyond = learnt()
+        assert fewer == held - 48 and (beyond is not None) == far
+        for a, b in zip(each, one):
+            assert a.keys() == b.keys()
+            assert all(abs(a[i][c] - b[i][c]) < 1e-12 for i in a for c in a[i])
