@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from microblog.config import scratch_path
 from microblog.llm import neardup, packing, quality, toxicity
-from microblog.llm.common import fold, prepare, read_table
+from microblog.llm.common import fold, prepare, read_table, release_shuffles
 from microblog.llm.queries import BYTE_BPE
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -78,4 +78,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             path = scratch_path(spark, f"pipeline-{name}")
             docs.write.parquet(path)
             docs = spark.read.parquet(path)
+            release_shuffles(spark)  # what the stage held is not the next one's to hold
     return docs

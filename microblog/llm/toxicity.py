@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import blocks, column, materialise, spread, texts_of
+from .common import blocks, column, materialise, release_shuffles, spread, texts_of
 
 CUT = 0.5
 WINDOW = 64
@@ -392,6 +392,7 @@ def learnt(rows: DataFrame, there: dict[int, int]) -> Network | None:
         sample = _picked(inside, None if shift < EVEN else context.broadcast(trainer.net), shift)
         if len(set(sample.label.tolist())) < 2:
             return None
+        release_shuffles(rows.sparkSession)  # the driver trains beside its JVM
         trainer.fit(sample, shift, (phase + 1) / PHASES)
     del sample
     worst = _worst(aside, context.broadcast(trainer.net))
