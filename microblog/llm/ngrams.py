@@ -128,10 +128,13 @@ class _Block:
         self.end_at = int(np.searchsorted(self.keys, self._end))
         self.order = 1
 
-    def answered(self, counts: np.ndarray) -> None:
-        """The counts of the last keys; on to the next order."""
+    def answered(self, counts: np.ndarray, last: bool = False) -> None:
+        """The counts of the last keys; on to the next order, if there is one."""
         own = np.where(self.at >= 0, counts[self.at], 0) if len(counts) else np.zeros(len(self.at), counts.dtype)
         self.count = own
+        if last:  # nothing but the counts is read any more
+            del self.word, self.gram, self.keys, self.at
+            return
         self.context, gram = np.empty_like(own), np.empty_like(self.gram)
         self.context[1:], gram[1:] = own[:-1], self.gram[:-1]
         first = self.order == 1  # a text begins after an end; longer contexts begin inside it
@@ -145,15 +148,17 @@ class _Block:
         self.at[known] = at
 
 
-def _read(row: dict, answers: pd.DataFrame) -> tuple[_Block, list[tuple[np.ndarray, np.ndarray]]]:
-    """The block after all rounds so far, and count and context per round."""
+def _read(row: dict, answers: pd.DataFrame, last: int | None = None) -> tuple[_Block, list[tuple[np.ndarray, np.ndarray]]]:
+    """The block after all rounds so far, and (given the ``last`` one, up to
+    which they go, to be traversed) count and context per round."""
     b, seen = _Block(row), []
     context = np.zeros(len(b.word), np.float64)
-    for _, own in answers.sort_values(["level", "shard"]).groupby("level"):
+    for level, own in answers.sort_values(["level", "shard"]).groupby("level"):
         counts = np.concatenate([_array(x, np.uint64) for x in own["counts"]])
-        b.answered(counts)
-        seen.append((b.count.astype(np.float64), context))
-        context = b.context.astype(np.float64)
+        b.answered(counts, level == last)
+        if last is not None:
+            seen.append((b.count.astype(np.float64), context))
+            context = b.context.astype(np.float64) if level < last else context
     return b, seen
 
 
@@ -181,6 +186,7 @@ def _summed(asked: DataFrame, level: int) -> DataFrame:
         counts = np.concatenate([_array(x, np.uint32) for x in rows["counts"]])
         _, which = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(which, weights=counts).astype(np.uint64)
+        pa.default_memory_pool().release_unused()
         ends = np.cumsum([len(k) for k in keys])
         first = np.arange(len(rows)) == 0
         return pd.DataFrame({"block": rows["block"], "level": level, "shard": rows["shard"], "counts": [_planes(total[which[e - len(k):e]]) for k, e in zip(keys, ends)],
@@ -212,6 +218,7 @@ def score(docs: DataFrame, learn: Column, order: int = ORDER, mu: tuple[float, .
     def longer(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         row = block.iloc[0]
         b, _ = _read(row, answers)
+        pa.default_memory_pool().release_unused()
         return pd.DataFrame(_asks(b, int(row["block"]), shards))
 
     counted = _summed(texts.select(*parts).mapInArrow(words, _ASK), 1)
@@ -223,7 +230,8 @@ def score(docs: DataFrame, learn: Column, order: int = ORDER, mu: tuple[float, .
 
     def traverse(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         row = block.iloc[0]
-        b, seen = _read(row, answers)
+        b, seen = _read(row, answers, order)
+        pa.default_memory_pool().release_unused()
         root = np.log10((seen[0][0] + 0.5) / (n + 0.5 * (known + 1)))
         state = np.ones(len(root), np.int64)  # the order of the arcs of the state before each token
         arcs, fails, below = [None, root], [None, None], root
