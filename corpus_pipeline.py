@@ -32,13 +32,12 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score reaches the threshold. The score goes by
-    the text, so rows are matched by id and the text's digest."""
+    """Documents whose quality score reaches the threshold; every row is judged
+    as it passes, so no text is shuffled."""
     prepare(spark)
-    docs = docs.select(*COLUMNS).withColumn("print", F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("")))
-    scores = quality.scored(docs, read_table(spark, sf_dir, "labels"), fold(F.col("doc_id")) != 0, carry=("print",))
-    good = scores.where(F.col("score") >= quality.CUT).select(F.col("doc_id").alias("good_id"), F.col("print").alias("good")).distinct()
-    return docs.join(good, F.col("doc_id").eqNullSafe(F.col("good_id")) & (F.col("print") == F.col("good")), "left_semi").drop("print")
+    rest = COLUMNS[1:]
+    scores = quality.scored(docs, read_table(spark, sf_dir, "labels"), fold(F.col("doc_id")) != 0, carry=rest)
+    return scores.where(F.col("score") >= quality.CUT).select(*COLUMNS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

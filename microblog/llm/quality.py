@@ -131,18 +131,23 @@ def scored(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "qual
     if not all(map(len, taken)):
         return every.select(F.col("id").alias(key), F.lit(0.5).alias("score"), *carry)
     mean, scale, w = fit(*taken)
-    schema = pa.schema([("id", pa.int64()), ("s", pa.float64()), *to_arrow_schema(every.select(*carry).schema)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x = column(b, "x").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(w))
-            yield pa.RecordBatch.from_arrays([column(b, "id"), pa.array(((x - mean) / scale) @ w, pa.float64()), *(column(b, c) for c in carry)], schema=schema)
+    def ranked(*more: str) -> DataFrame:
+        kept = every.select(*more)
+        schema = pa.schema([("id", pa.int64()), ("s", pa.float64()), *to_arrow_schema(kept.schema)])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                x = column(b, "x").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(w))
+                yield pa.RecordBatch.from_arrays([column(b, "id"), pa.array(((x - mean) / scale) @ w, pa.float64()), *(column(b, c) for c in more)], schema=schema)
+
+        return every.select("id", "x", *more).mapInArrow(run, ", ".join(["id bigint, s double", *(f"`{c}` {t}" for c, t in kept.dtypes)]))
 
-    ddl = ", ".join(["id bigint, s double", *(f"`{c}` {t}" for c, t in every.select(*carry).dtypes)])
-    rank = materialise(every.select("id", "x", *carry).mapInArrow(run, ddl), "ranks")
+    rank = materialise(ranked(), "ranks")
     seen = rank.join(known, "id")
     share = seen.agg(F.avg(1 - F.col("y"))).first()[0]
     bar = seen.agg(F.percentile_approx("s", F.lit(float(share)), 100_000)).first()[0]
     above = seen.where(F.col("s") > bar).agg(F.min("s")).first()[0]
     bar = bar if above is None else (bar + above) / 2  # what lies at the quantile is below the threshold
-    return rank.select(F.col("id").alias(key), (1 / (1 + F.exp(-(F.col("s") - float(bar) + log(CUT / (1 - CUT)))))).alias("score"), *carry)
+    found = ranked(*carry) if carry else rank  # what is carried is written with the features alone
+    return found.select(F.col("id").alias(key), (1 / (1 + F.exp(-(F.col("s") - float(bar) + log(CUT / (1 - CUT)))))).alias("score"), *carry)
