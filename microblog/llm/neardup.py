@@ -19,10 +19,13 @@
 5. Groups of long lists that still lie in several components are searched
    exactly, on their full sets: two sets above the threshold share one of the
    n - ceil(0.75 n) + 1 values of either that fewest of these groups hold (prefix
-   filter). Lists of such values are short but for texts that consist of shared
-   passages; long ones name hubs as above, in rounds until one links nothing (at
-   most ``ROUNDS``), then all pairs that lie between components are paired out.
-   No pair is left out; positions in the two orders bound what it can share.
+   filter). Positions in the two orders bound what a pair can share from its
+   first common value on: a member whose bound suffices with no other of its list
+   leaves it, and no pair is made whose bound does not suffice. So texts around a
+   shared passage that have too much of their own meet nobody. Long lists name
+   hubs as above, first the member with least before the value, in rounds until
+   one links nothing (at most ``ROUNDS``), then all pairs that lie between
+   components are paired out. No pair that can be similar enough is left out.
 6. Components by minimum labels and pointer jumping.
 
 Two texts above the threshold share each of the smallest values of their union
@@ -284,10 +287,11 @@ class _Links:
         return materialise(both.where(F.col("met") * 100 >= united * self.percent).select(*_ordered("g", "h")), "links")
 
     def prefixes(self, nodes: DataFrame) -> DataFrame:
-        """(v, g, n, at, size): of every group in ``nodes`` (g) the values that
-        decide, rarest first; ``at``: place in that order, ``size``: groups with
-        the value among theirs. Values that one group alone holds come first
-        and meet nobody, so they are counted only. A value is known by 16 bits
+        """(v, g, n, at): of every group in ``nodes`` (g) the values that decide,
+        rarest first, where places and sizes let it share enough with any other
+        group that has the value among its own; ``at``: place in that order.
+        Values that one group alone holds come first and meet nobody, so they are
+        counted only. A value is known by 16 bits
         of its number of holders (its order) and 47 of its hash: two that are
         taken for one can only add candidates."""
         self.need(nodes)
@@ -300,7 +304,12 @@ class _Links:
         room = F.expr(f"greatest(n - (n * {self.percent} + 99) div 100 + 1 - alone, 0)").cast("int")
         rows = held.withColumn("held", F.slice("held", F.lit(1), room)).select("g", "n", "alone", F.posexplode("held").alias("i", "v"))
         rows = materialise(rows.select("v", "g", "n", (F.col("alone") + F.col("i")).alias("at")), "prefixes")
-        return rows.join(rows.groupBy("v").agg(F.count("*").alias("size")).where("size > 1"), "v")
+        best = rows.groupBy("v").agg(F.count("*").alias("size"), F.min("n").alias("m"), F.max(F.col("n") - F.col("at")).alias("rest")).where("size > 1")
+        return rows.join(best, "v").where(self.enough(F.least(F.col("n") - F.col("at"), "rest"), F.col("n") + F.col("m"))).select("v", "g", "n", "at")
+
+    def enough(self, met: Column, sizes: Column) -> Column:
+        """Do so many common values suffice two sets of these sizes' sum?"""
+        return met * (100 + self.percent) >= sizes * self.percent
 
     def test(self, pairs: DataFrame, best_first: bool) -> bool:
         """Confirm likely pairs; whether there was a link. ``best_first``: each
@@ -350,6 +359,7 @@ def classes(docs: DataFrame, words: int = WORDS, percent: int = 75, k: int = K,
     sizes = held.groupBy("v").agg(F.count("*").alias("size")).where("size > 1")
     held = materialise(held.join(sizes, "v"), "lists")
     fits = lambda n, m: F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    bound = lambda n, at, m, to: links.enough(F.least(F.col(n) - F.col(at), F.col(m) - F.col(to)), F.col(n) + F.col(m))
 
     def spans(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         """The rows with their components, and the lists in several of them."""
@@ -358,11 +368,16 @@ def classes(docs: DataFrame, words: int = WORDS, percent: int = 75, k: int = K,
 
     def hubs(rows: DataFrame, r: int) -> DataFrame:
         """Each list's members with its hub, if that is in another component.
-        Even rounds draw it from those in most lists, odd ones from all."""
+        Even rounds draw it from those in most lists, odd ones from all, but the
+        first of the exact search, which takes the one with least before the value."""
         now = links.labelled(rows, "g", "comp")
-        draw = F.xxhash64("g", "v", F.lit(r)) if r % 2 else F.struct(-F.col("central"), F.xxhash64("g", F.lit(r)))
-        hub = now.groupBy("v").agg(F.min_by(F.struct("g", "comp", "n"), draw).alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        placed = "at" in rows.columns
+        first = "at" if r == 1 else -F.col("central")
+        draw = F.xxhash64("g", "v", F.lit(r)) if r % 2 and r > 1 else F.struct(first, F.xxhash64("g", F.lit(r)))
+        hub = now.groupBy("v").agg(F.min_by(F.struct("g", "comp", "n", *["at"] * placed), draw).alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
         met = now.join(hub.where("lo <> hi").select("v", "hub"), "v").where("comp <> hub.comp").where(fits("n", "hub.n"))
+        if placed:
+            met = met.where(bound("n", "at", "hub.n", "hub.at"))
         return met.select(*_ordered("g", "hub.g"))
 
     def centred(rows: DataFrame, name: str) -> DataFrame:
@@ -381,7 +396,7 @@ def classes(docs: DataFrame, words: int = WORDS, percent: int = 75, k: int = K,
         other = now.select("v", F.expr("cast(pmod(xxhash64(g), parts) as int)").alias("part"), F.col("g").alias("h"), F.col("n").alias("m"), F.col("at").alias("to"), F.col("comp").alias("beside"), F.col("comp") == F.col("most"))
         other = other.toDF("v", "part", "h", "m", "to", "beside", "inner")
         met = some.join(other, ["v", "part"]).where("comp <> beside and (inner or g < h)").where(fits("n", "m"))
-        return met.where(F.least(F.col("n") - F.col("at"), F.col("m") - F.col("to")) * (100 + percent) >= (F.col("n") + F.col("m")) * percent).select(*_ordered("g", "h"))
+        return met.where(bound("n", "at", "m", "to")).select(*_ordered("g", "h"))
 
     one = held.where(F.col("size") <= short).select("v", "g", "n")
     near = one.join(one.select("v", F.col("g").alias("h"), F.col("n").alias("m")), "v").where("g < h").where(fits("n", "m"))
@@ -396,6 +411,7 @@ def classes(docs: DataFrame, words: int = WORDS, percent: int = 75, k: int = K,
     nodes = _table(now.join(open_lists, "v", "left_semi").select("g").distinct(), "open")
     if not _empty(nodes):  # the exact search
         rare = materialise(links.prefixes(nodes), "rare")
+        rare = rare.join(rare.groupBy("v").agg(F.count("*").alias("size")).where("size > 1"), "v")
         long = centred(rare.where(F.col("size") > short).drop("size"), "long-rare")
         found = outer(rare.where(F.col("size") <= short)).union(hubs(long, 1))
         for r in range(1, ROUNDS + 1):
