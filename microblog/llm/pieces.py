@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import gc
 import re
-from collections.abc import Callable, Sequence
-from itertools import islice
+from collections.abc import Callable, Iterable, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 _SPACE_AFTER_SPACE = re.compile(r"\s ")
@@ -22,14 +24,6 @@ _CUT = re.compile(r"(?<=\S) ")
 _LETTERS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]?)").fullmatch
 
 
-def _distinct(parts: Sequence[list[str]]) -> tuple[set[str], set[str]]:
-    """The pieces at the start of a text and those after a space."""
-    first, rest = {p[0] for p in parts}, set()
-    for p in parts:
-        rest.update(islice(p, 1, None))
-    return first, rest
-
-
 class PieceEncoder:
     """Encodes texts to ids (little-endian unsigned 32-bit bytes).
 
@@ -54,19 +48,20 @@ class PieceEncoder:
         self._words: dict[str, bytes] = {}  # other matches
         self._held = 0
 
-    def _learn(self, first: set[str], rest: set[str]) -> None:
-        known, words = self._rest, self._words
+    def _learn(self, first: set[str], rest: Iterable[str]) -> None:
+        """Takes in pieces at the start of a text and distinct ones after a space."""
+        known, words, old = self._rest, self._words, self._old
         plain, marked, mixed = set(), [], []  # letters; letters and a mark; anything else
-        rest.difference_update(known)
-        again = rest.intersection(self._old)
-        known.update([(p, self._old[p]) for p in again])
-        for p in rest - again:
-            if p.isascii() and p.isalpha():  # what the expression finds in most pieces
+        for p in rest:
+            if p in known:
+                continue
+            if p in old:
+                known[p] = old[p]
+            elif p.isascii() and p.isalpha():  # what the expression finds in most pieces
                 plain.add(p)
             elif m := _LETTERS(p):
                 letters, mark = m.groups()
-                if letters not in known:
-                    plain.add(letters)
+                plain.add(letters)
                 if mark:
                     marked.append((p, letters, mark))
             else:
@@ -75,7 +70,7 @@ class PieceEncoder:
         new = {w for _, _, ws in mixed for w in ws}
         new.update(mark for _, _, mark in marked)
         new = [w for w in new if w not in words]
-        letters = list(plain)
+        letters = [p for p in plain if p not in known]
         ids = self._encode_words([" " + p for p in letters] + new)
         known.update(zip(letters, ids))
         words.update(zip(new, ids[len(letters):]))
@@ -85,22 +80,45 @@ class PieceEncoder:
             self._held += len(p)
 
     def __call__(self, texts: Sequence[str]) -> list[bytes]:
+        if not texts:
+            return []
         if max(len(self._rest), len(self._words)) > self._entries or self._held > self._chars:
             self._old = {} if self._held > self._chars else self._rest  # one older generation stays
             self._clear()
-        parts = [t.split(" ") for t in texts]
-        first, rest = _distinct(parts)
+        parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        bounds = parts.offsets.to_numpy()
+        coded = parts.flatten().dictionary_encode()
+        at, pieces = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        del parts, coded
+        starts = bounds[:-1]
         # few distinct pieces tell whether any space follows one: no need to search all texts
-        ends = {p for pieces in (first, rest) for p in pieces if not p or p[-1].isspace()}
-        if ends:
-            parts = [p if ends.isdisjoint(p) or not _SPACE_AFTER_SPACE.search(t) else _CUT.split(t) for p, t in zip(parts, texts)]
-            first, rest = _distinct(parts)
+        ends = np.fromiter((not p or p[-1].isspace() for p in pieces), dtype=bool, count=len(pieces))
+        odd = {}
+        if ends.any():
+            odd = {i: _CUT.split(texts[i]) for i in np.flatnonzero(np.logical_or.reduceat(ends[at], starts)).tolist() if _SPACE_AFTER_SPACE.search(texts[i])}
+        heads = at[starts]
+        after = np.ones(len(at), dtype=bool)
+        after[starts] = False
+        for i in odd:
+            after[bounds[i]:bounds[i + 1]] = False
+        used = np.zeros(len(pieces), dtype=bool)
+        used[at[after]] = True
+        rest = [p for p, u in zip(pieces, used.tolist()) if u]
+        first = {pieces[h] for i, h in enumerate(heads.tolist()) if i not in odd} | {p[0] for p in odd.values()}
         collecting = gc.isenabled()
-        gc.disable()  # millions of small strings and no cycles among them
+        gc.disable()  # many small strings and no cycles among them
         try:
-            self._learn(first, rest)
+            self._learn(first, {*rest, *(p for ps in odd.values() for p in ps[1:])} if odd else rest)
         finally:
             if collecting:
                 gc.enable()
-        get, heads = self._rest.__getitem__, self._first
-        return [heads[p[0]] + b"".join(map(get, islice(p, 1, None))) for p in parts]
+        # the ids of every text, laid end to end: of the distinct pieces' ids, those that its pieces name
+        get, lead = self._rest.__getitem__, self._first
+        place = np.cumsum(used, dtype=np.int32) - 1
+        whole = pa.array([*map(get, rest), b"", *(lead.get(pieces[h], b"") for h in heads.tolist())], pa.large_binary())
+        taken = np.where(after, place[at], np.int32(len(rest)))
+        taken[starts] = np.arange(len(rest) + 1, len(whole))
+        ids = whole.take(pa.array(taken))
+        cuts = np.frombuffer(ids.buffers()[1], dtype=np.int64)[bounds].tolist()
+        raw = memoryview(ids.buffers()[2])
+        return [bytes(raw[a:b]) if i not in odd else lead[odd[i][0]] + b"".join(map(get, odd[i][1:])) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
