@@ -100,12 +100,16 @@ class MergeReplay:
 
     def __call__(self, words: Sequence[bytes]) -> list[bytes]:
         """Ids of each word, as little-endian unsigned 32-bit bytes."""
-        size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        ends = np.cumsum(size)
-        first = self.byte_id[np.frombuffer(b"".join(words), dtype=np.uint8)]
-        n = len(first)
+        return self.column(pa.array(words, pa.large_binary())).to_pylist()
+
+    def column(self, words: pa.Array) -> pa.Array:
+        """The same for a column of words (large strings or binaries, no nulls)."""
+        bounds = np.frombuffer(words.buffers()[1] or bytes(8), dtype=np.int64)[words.offset:words.offset + len(words) + 1]
+        size, ends = np.diff(bounds), bounds[1:] - bounds[0]
+        n = int(bounds[-1] - bounds[0])
         if not n:
-            return [b""] * len(words)
+            return pa.array([b""] * len(words), pa.large_binary())
+        first = self.byte_id[np.frombuffer(words.buffers()[2], dtype=np.uint8)[bounds[0]:bounds[-1]]]
         full = ends[size > 0]
         linked = np.ones(n, dtype=bool)
         linked[full - 1] = False  # nothing follows a word's last symbol
@@ -161,14 +165,15 @@ class MergeReplay:
                     heapq.heappush(queue, r)
                 got.append(p)
 
-        ids = sym
-        alive = ids >= 0
-        kept = np.concatenate([[0], np.cumsum(alive)])
-        raw = ids[alive].astype("<u4").tobytes()
-        kept *= 4
-        out = [raw[a:b] for a, b in zip(kept[ends - size].tolist(), kept[ends].tolist())]
-        for w in set(np.searchsorted(ends, sorted(apart), side="right").tolist()):
-            out[w] = np.array(self._alone(words[w]), dtype="<u4").tobytes()
+        alive = sym >= 0
+        kept = np.concatenate([[0], np.cumsum(alive)])[np.concatenate([[0], ends])] * 4
+        out = pa.Array.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(kept.astype(np.int64)), pa.py_buffer(sym[alive].astype("<u4"))])
+        if apart:
+            lone = out.to_pylist()
+            for w in set(np.searchsorted(ends, sorted(apart), side="right").tolist()):
+                word = words[w].as_py()
+                lone[w] = np.array(self._alone(word.encode() if isinstance(word, str) else word), dtype="<u4").tobytes()
+            out = pa.array(lone, pa.large_binary())
         return out
 
 
@@ -177,7 +182,7 @@ class Codec:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         replay = MergeReplay([ranks[bytes([b])] for b in range(256)], pairs_of(ranks))
-        self.encode = PieceEncoder(pattern, lambda words: replay([w.encode() for w in words]))
+        self.encode = PieceEncoder(pattern, replay)
         self.token = {r: t for t, r in ranks.items()}
 
     def decode(self, ids: Iterable[int]) -> bytes:

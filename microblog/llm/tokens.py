@@ -126,7 +126,6 @@ def encoder(data: str, pattern: str, added: bool = False) -> PieceEncoder | Libr
     key = (hashlib.sha256(data.encode()).hexdigest(), pattern)
     if key not in _encoders:
         _encoders.clear()
-        replay = replay_of(data)
-        plain = PieceEncoder(pattern, (lambda words: replay([w.encode() for w in words])) if replay else LibraryWords(data))
+        plain = PieceEncoder(pattern, replay_of(data) or LibraryWords(data))
         _encoders[key] = plain, LibraryTexts(data, plain)
     return _encoders[key][added]
