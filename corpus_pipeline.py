@@ -30,6 +30,9 @@ from microblog.llm.queries import BYTE_BPE
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
+#: Text encoded at once while packing: executors still hold what the stages before took.
+PACK_BYTES = 4 << 20
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the threshold; every row is judged
@@ -58,7 +61,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's ids as sequences of binary lengths, 1024 at most."""
     prepare(spark)
-    return packing.pack(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
+    return packing.pack(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN, block_bytes=PACK_BYTES)
 
 
 STAGES = [("quality", keep_quality), ("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates), ("packing", pack)]

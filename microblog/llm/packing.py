@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, column, texts_of
+from .common import BLOCK_BYTES, blocks, column, texts_of
 from .tokens import encoder, read_tokenizer
 
 LENGTH = 1024
@@ -39,9 +39,10 @@ def piece_lengths(n: int, length: int = LENGTH) -> list[int]:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, pattern: str, length: int = LENGTH, separator: int = 0,
-         key: str = "doc_id", text: str = "text", with_ids: bool = True) -> DataFrame:
+         key: str = "doc_id", text: str = "text", with_ids: bool = True, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """A row per piece: key, start, length, doc_tokens, ids_crc32, bucket,
-    sequence_id, offset and, unless ``with_ids`` is off, the ids."""
+    sequence_id, offset and, unless ``with_ids`` is off, the ids. ``block_bytes``
+    of text are encoded at once: fewer take less memory and more time."""
     if length < 1 or length & (length - 1):
         raise ValueError("the sequence length must be a power of two")
     data = docs.sparkSession.sparkContext.broadcast(read_tokenizer(tokenizer_path))
@@ -51,7 +52,7 @@ def pack(docs: DataFrame, tokenizer_path: str, pattern: str, length: int = LENGT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(data.value, pattern, added=True)
-        for b in blocks(batches, text):
+        for b in blocks(batches, text, block_bytes):
             raw = [x + end for x in encode(texts_of(b, text))]
             totals = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) // 4
             sizes = [piece_lengths(n, length) for n in totals.tolist()]
