@@ -31,7 +31,7 @@ from microblog.llm.queries import BYTE_BPE
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 #: Text encoded at once while packing: executors still hold what the stages before took.
-PACK_BYTES = 4 << 20
+PACK_BYTES = 2 << 20
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

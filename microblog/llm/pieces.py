@@ -68,7 +68,7 @@ class PieceEncoder:
     """
 
     def __init__(self, pattern: str, encode_words: Callable[[Sequence[str]], Sequence[bytes]],
-                 entries: int = 300_000, chars: int = 6_000_000):
+                 entries: int = 100_000, chars: int = 6_000_000):
         self._find = regex.compile(pattern).findall
         self._encode = getattr(encode_words, "column", None) or (lambda words: _ids(encode_words(words.to_pylist())))
         self._entries, self._chars = entries, chars
